@@ -104,8 +104,8 @@ def encode(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", te
     end = F.when(F.col("more").isNull(), F.length("window")).when(F.col("lost"), F.lit(chunk_chars)).otherwise(F.col("next") + chunk_chars)
     pieces = stitched.select("id", "rid", "k", "lost", F.substring("window", begin + 1, end - begin).alias("text"))
     encoded = map_batches(pieces.where(~F.col("lost")).drop("lost").repartition("rid", "k"), encode_texts, f"id {id_type}, rid long, k int, ids array<int>")
-    joined = encoded.groupBy("rid").agg(F.first("id").alias("id"), F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("p")).select("id", F.flatten("p.ids").alias("ids"))
-    rest = pieces.where(F.col("lost")).groupBy("rid").agg(F.first("id").alias("id"), F.array_sort(F.collect_list(F.struct("k", "text"))).alias("p")).select("id", F.array_join("p.text", "").alias("text"))
+    joined = encoded.groupBy("rid").agg(F.first("id").alias("id"), F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("p")).select("id", F.flatten("p.ids").alias("ids"))
+    rest = pieces.where(F.col("lost")).groupBy("rid").agg(F.first("id").alias("id"), F.sort_array(F.collect_list(F.struct("k", "text"))).alias("p")).select("id", F.array_join("p.text", "").alias("text"))
     return short.unionByName(joined).unionByName(map_batches(rest, encode_texts, f"id {id_type}, ids array<int>")).withColumnRenamed("id", id_col)
 
 

@@ -146,6 +146,6 @@ def sequences(docs: DataFrame, placed: DataFrame, vocab: str, pattern: str, end_
     return (
         own.join(placed.select(id_col, "piece", "sequence_id", "offset"), [id_col, "piece"])
         .groupBy("sequence_id")
-        .agg(F.sum("length").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("p"))
+        .agg(F.sum("length").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("p"))
         .select("sequence_id", "n_tokens", F.expr("aggregate(p.ids, cast('' as binary), (a, x) -> concat(a, x))").alias("ids"))
     )

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm import bpe, packing, simhash
+from lattica.llm import bpe, packing, quality_rules, secrets, simhash
 from lattica.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,10 +33,30 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and linked secret spans of every document."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
+    return found.select(
+        "own.doc_id",
+        *[F.size(k).cast("long").alias(f"n_{k}") for k in secrets.BASE],
+        F.sha2(secrets.written(base), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    found = quality_rules.judged(table(spark, sf_dir, "documents"))
+    return found.select("own.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
