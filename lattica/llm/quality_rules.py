@@ -112,6 +112,7 @@ def judged(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("do
 def filtered(docs: DataFrame, text_col: str = "text", count_col: str | None = "n_chars", **options) -> DataFrame:
     """The documents that stay, their texts cleaned and, if they have it, count_col set anew; other columns as they were."""
     names = docs.columns
-    df = judged(docs, text_col, tuple(names), **options).where("kept")
+    # the running number keeps Catalyst from pushing the filter, and with it all measures, below the columns they are made of
+    df = judged(docs, text_col, tuple(names), **options).withColumn("_at", F.monotonically_increasing_id()).where("kept and _at >= 0")
     new = {text_col: F.col("cleaned")} | ({count_col: F.length("cleaned").cast(docs.schema[count_col].dataType)} if count_col in names else {})
     return df.select(*[new.get(n, F.col("own")[n]).alias(n) for n in names])
