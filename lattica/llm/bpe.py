@@ -66,7 +66,9 @@ def encode(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", te
 
     def encode_texts(batch: pa.RecordBatch) -> dict:
         enc = encoding(vocab, pattern)
-        return {n: batch.column(n) for n in batch.schema.names if n != "text"} | {"ids": [enc.encode_ordinary(t) for t in texts_of(batch)]}
+        # as arrays: a list of Python integers takes nine times the memory
+        ids = [np.array(enc.encode_ordinary(t), dtype=np.int32) for t in texts_of(batch)]
+        return {n: batch.column(n) for n in batch.schema.names if n != "text"} | {"ids": pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))}
 
     def cut(batch: pa.RecordBatch) -> dict:
         out: dict = {"id": [], "rid": [], "k": [], "window": [], "last": []}
@@ -112,9 +114,13 @@ def encode(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", te
 def decode(encoded: DataFrame, vocab: str, pattern: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """Adds the bytes of the ids, concatenated; null ids give null. Bytes need not be UTF-8: ids may split a character."""
 
-    @F.pandas_udf("binary")
-    def decoded(ids):  # noqa: ANN001, ANN202
+    names = encoded.columns
+
+    def decoded(batch: pa.RecordBatch) -> dict:
         enc = encoding(vocab, pattern)
-        return ids.map(lambda x: None if x is None else enc.decode_bytes(np.asarray(x).tolist()))
+        column = batch.column(ids_col)
+        out = [None if not x.is_valid else enc.decode_bytes(x.values.to_numpy(zero_copy_only=False).tolist()) for x in column]
+        return {n: batch.column(n) for n in names if n != out_col} | {out_col: out}
 
-    return encoded.withColumn(out_col, decoded(F.col(ids_col)))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields if f.name != out_col)
+    return map_batches(encoded, decoded, f"{ddl}, `{out_col}` binary")

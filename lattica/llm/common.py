@@ -74,14 +74,25 @@ def _at_exit() -> None:
         pass
 
 
+#: Batches are cut into slices of about so many bytes before Python works on them.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of a batch, of about `size` bytes each if its rows are alike, and a row at least."""
+    step = max(1, batch.num_rows * size // max(size, batch.nbytes))
+    for i in range(0, batch.num_rows, step):
+        yield batch.slice(i, step)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """`mapInArrow` with a function from a batch to columns; `schema` is the DDL of the result."""
     fields = StructType.fromDDL(schema).fields
     names, types = [f.name for f in fields], [to_arrow_type(f.dataType, timestamp_utc=True) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for batch in slices(whole):
                 out = fn(batch)
                 yield pa.RecordBatch.from_arrays([pa.array(out[n], type=t) for n, t in zip(names, types)], names=names)
 
