@@ -155,6 +155,11 @@ def normalise_file(path: str, target: str, level: int = LEVEL) -> int:
     return n
 
 
+def _spread(files: DataFrame) -> DataFrame:
+    """The paths, a task for each (up to a bound) whatever the size of their table."""
+    return files.select("path").repartition(max(1, min(100_000, files.count())))
+
+
 def normalise(files: DataFrame, folder: str, level: int = LEVEL) -> DataFrame:
     """A normalised copy and its index for each archive of files (path, records); (path, records) of the copies."""
 
@@ -166,7 +171,7 @@ def normalise(files: DataFrame, folder: str, level: int = LEVEL) -> DataFrame:
                 counts.append(normalise_file(path, paths[-1], level))
             yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(counts, pa.int64())], names=["path", "records"])
 
-    return staged(files.select("path").repartition("path").mapInArrow(run, "path string, records long"), "warc-members")
+    return staged(_spread(files).mapInArrow(run, "path string, records long"), "warc-members")
 
 
 def read_at(stream: pa.NativeFile, offset: int, length: int) -> tuple[dict[str, str], bytes]:
@@ -206,7 +211,7 @@ def read(files: DataFrame, with_payload: bool = False) -> DataFrame:
                             rows, size = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return files.select("path").repartition("path").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * with_payload)
+    return _spread(files).mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * with_payload)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0, **options) -> DataFrame:
