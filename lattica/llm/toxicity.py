@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from lattica.llm.common import fold, map_batches, texts_of
 from lattica.llm.sampling import labelled
 
-MAX_ROWS, DISCOUNT, MIN_PAIR, MIX = 20_000, 1.0, 6, 0.01
+MAX_ROWS, DISCOUNT, MIN_PAIR, MIX = 12_000, 1.0, 6, 0.01
 _STRIP = ".,;:!?\"'()[]…«»"
 
 
@@ -143,7 +143,8 @@ def train(docs: DataFrame, labels: DataFrame, is_train: Column, is_held_back: Co
     # words of one document back off alike in both models: only their number matters
     keep = F.when(F.col("v").isNull(), n >= 2).when(F.col("v") == "", n >= MIN_PAIR).otherwise(n >= MIN_PAIR)
     rest = counted.where(F.col("v").isNull() & (n < 2)).agg(F.lit("").alias("w"), F.lit(None).cast("string").alias("v"), F.coalesce(F.sum("ordinary"), F.lit(0)).alias("ordinary"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic"))
-    table = [tuple(r) for r in counted.where(keep).unionByName(rest).collect()]  # bounded by max_rows documents
+    got = counted.where(keep).unionByName(rest).select("w", "v", "ordinary", "toxic").toArrow()  # bounded by max_rows documents
+    table = list(zip(*(c.to_pylist() for c in got.columns)))
     y = [0, 0]
     for r in rows.where(~is_held_back).groupBy((F.col("_label") > 0).cast("int").alias("y")).count().collect():
         y[r["y"]] = r["count"]
