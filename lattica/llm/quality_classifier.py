@@ -19,13 +19,14 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import fold, map_batches, texts_of
+from lattica.llm.common import fold, map_batches, slices, texts_of
 from lattica.llm.sampling import labelled
 
 MAX_ROWS, DIMS, STEPS, RIDGE, KEEP = 8_000, 1 << 15, 150, 1e-3, 0.35
@@ -140,34 +141,43 @@ def train(docs: DataFrame, labels: DataFrame, is_train: Column, id_col: str = "d
     return fit(where, np.concatenate(index), np.concatenate(values), grades, np.searchsorted(grades, grade), dims)
 
 
-def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text", grade: float | None = None) -> DataFrame:
-    """docs with `_expected` (grade) and `_tail`, the probability of `grade` (the highest, if None) or more."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def _tail(model: OrdinalModel, quality: np.ndarray, grade: float | None) -> np.ndarray:
+    """The probability of `grade` (the highest, if None) or more."""
     cut = len(model.grades) - 1 if grade is None else int(np.searchsorted(model.grades, grade))
+    return model.tails(quality)[:, cut - 1] if 0 < cut < len(model.grades) else np.full(len(quality), float(cut <= 0))
+
+
+def _qualities(model: OrdinalModel, batch: pa.RecordBatch, text_col: str) -> np.ndarray:
+    return np.array([model.quality(t) for t in texts_of(batch, text_col)])
+
 
-    @F.pandas_udf("expected double, tail double")
-    def scored(texts):  # noqa: ANN001, ANN202
-        import pandas as pd
+def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", grade: float | None = None) -> DataFrame:
+    """(id_col, expected_grade, tail) of each row; tail is the probability of `grade` (the highest, if None) or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    df = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
-        m = shared.value
-        q = np.array([m.quality(t or "") for t in texts])
-        tail = m.tails(q)[:, cut - 1] if 0 < cut < len(m.grades) else np.full(len(q), float(cut <= 0))
-        return pd.DataFrame({"expected": m.expected(q), "tail": tail})
+    def scored(batch: pa.RecordBatch) -> dict:
+        q = _qualities(shared.value, batch, "text")
+        return {"id": batch.column("id"), "expected_grade": shared.value.expected(q), "tail": _tail(shared.value, q, grade)}
 
-    return docs.withColumn("_s", scored(F.col(text_col))).withColumns({"_expected": F.col("_s.expected"), "_tail": F.col("_s.tail")}).drop("_s")
+    return map_batches(df, scored, f"id {df.schema['id'].dataType.simpleString()}, expected_grade double, tail double").withColumnRenamed("id", id_col)
 
 
 def graded(docs: DataFrame, labels: DataFrame, folds: int = 5, keep: float = KEEP, max_rows: int = MAX_ROWS) -> DataFrame:
     """(doc_id, held_out, expected_grade, tail, kept): fold 0 is held out of training."""
     held_out = fold(F.col("doc_id"), folds) == 0
     model = train(docs, labels, ~held_out, max_rows=max_rows)
-    return score(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), F.col("_expected").alias("expected_grade"), F.col("_tail").alias("tail"), (F.col("_tail") >= keep).alias("kept"))
+    return score(docs, model).select("doc_id", held_out.alias("held_out"), "expected_grade", "tail", (F.col("tail") >= keep).alias("kept"))
 
 
 def filtered(docs: DataFrame, labels: DataFrame, folds: int = 5, keep: float = KEEP, max_rows: int = MAX_ROWS) -> DataFrame:
     """The rows of docs whose probability of the highest grade is at least `keep`."""
-    names = docs.columns
     held_out = fold(F.col("doc_id"), folds) == 0
-    model = train(docs, labels, ~held_out, max_rows=max_rows)
-    packed = docs.select(F.struct(*names).alias("own"), F.col("text").alias("text"))
-    return score(packed, model).where(F.col("_tail") >= keep).select("own.*")
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, ~held_out, max_rows=max_rows))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole):
+                yield batch.filter(pa.array(_tail(shared.value, _qualities(shared.value, batch, "text"), None) >= keep))
+
+    return docs.mapInArrow(kept, docs.schema)
