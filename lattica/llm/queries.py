@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm import bpe, lm_scoring, packing, quality_classifier, quality_rules, secrets, simhash, topk, toxicity, warc
+from lattica.llm import bpe, lm_scoring, oracles, packing, quality_classifier, quality_rules, secrets, simhash, topk, toxicity, warc
 from lattica.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,4 +92,4 @@ QUERIES: dict[str, Query] = {
     "op10_lm_scoring": op10_lm_scoring,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_exact_top_k": oracles.OP2, "op4_warc_round_trip": oracles.OP4, "op9_quality_rules": oracles.OP9}

@@ -1,0 +1,20 @@
+from collections import Counter
+
+import duckdb
+import pytest
+from lattica.llm.queries import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    want = con.execute(ORACLES[name])
+    names = [c[0] for c in want.description]
+    got = QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(names)
+    a, b = Counter(tuple(r[c] for c in names) for r in got.collect()), Counter(want.fetchall())
+    assert a == b, (list((a - b).items())[:3], list((b - a).items())[:3])
