@@ -104,6 +104,23 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return ["" if t is None else t for t in batch.column(name).to_pylist()]
 
 
+#: A key is hot if it has more than one in so many of all rows; so fewer keys than this are hot.
+HOT_KEYS = 20_000
+
+
+def join_hot(rows: DataFrame, keyed: DataFrame, key: str, weight: str, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """rows joined with keyed, one row for each key that has the number of its rows as `weight`; without that column.
+
+    Rows of hot keys stay where they are and meet their keys in a broadcast of fewer
+    than `hot_keys` rows; only the others are shuffled by the key. A null key has no
+    partner, as in any inner join. keyed is read three times and should be staged.
+    """
+    total = keyed.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    is_hot = F.col(weight) * F.lit(hot_keys) > F.lit(total)
+    hot, other = F.broadcast(keyed.where(is_hot).drop(weight)), keyed.where(~is_hot).drop(weight)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(other, key))
+
+
 def id_text(col) -> object:
     """An id as the text that the folds hash; null as empty."""
     return F.coalesce(col.cast("string"), F.lit(""))

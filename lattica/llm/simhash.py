@@ -11,7 +11,9 @@ than its members), so groups of near copies don't become pairs; components are
 then found by star contractions.
 
 A bucket of more than `max_bucket` fingerprints is never held in one task: its
-members are dealt into parts, and each pair of parts is compared on its own.
+members are dealt into parts, and each pair of parts is compared on its own. Rows
+of fingerprints that very many copies share, and fingerprints of very large
+components, are joined with their component by a broadcast of bounded size.
 
 A null or empty text has fingerprint zero and links like any other. Repeated rows
 have equal fingerprints. Null ids never represent a component unless all its ids
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lattica.llm.common import map_batches, staged, texts_of
+from lattica.llm.common import HOT_KEYS, join_hot, map_batches, staged, texts_of
 from lattica.llm.graph import components
 
 SHINGLE, SEED, MAX_BITS, MAX_BUCKET = 4, 42, 4, 16_384
@@ -179,15 +181,16 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET
     return found.where(F.col("rest") < 0).select("u", "v").unionByName(_large_bucket_edges(over, max_bits, max_bucket))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET, hot_keys: int = HOT_KEYS) -> DataFrame:
     """(id_col, text_hash, fp, component_id) of each row: the smallest id that it reaches over links."""
     own = staged(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
-    distinct = staged(own.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct")
+    distinct = staged(own.groupBy("fp").agg(F.min(id_col).alias("least"), F.count(F.lit(1)).alias("n")), "distinct")
     roots = components(links(distinct.select("fp"), max_bits, max_bucket)).withColumnRenamed("node", "fp")
-    grouped = roots.join(distinct, "fp")
-    classes = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    known = distinct.join(classes, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return own.join(known, "fp").select(id_col, "text_hash", "fp", "component_id")
+    grouped = staged(roots.join(distinct, "fp").select("fp", "root", "least"), "grouped")
+    by_root = staged(grouped.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size")), "by-root")
+    classes = join_hot(grouped, by_root, "root", "size", hot_keys).select("fp", "component_id")
+    known = staged(distinct.join(classes, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), "n"), "classes")
+    return join_hot(own, known, "fp", "n", hot_keys).select(id_col, "text_hash", "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -51,8 +51,8 @@ def result(df, **options):
     return sorted((r.doc_id or 0, r.fp % (1 << 64), r.component_id or 0) for r in simhash.near_duplicates(df, **options).collect())
 
 
-@pytest.mark.parametrize("max_bucket", [4, simhash.MAX_BUCKET])
-def test_awkward_and_near_copies(spark, max_bucket):
+@pytest.mark.parametrize(("max_bucket", "hot_keys"), [(4, 3), (simhash.MAX_BUCKET, 8), (simhash.MAX_BUCKET, simhash.HOT_KEYS)])
+def test_awkward_and_near_copies(spark, max_bucket, hot_keys):
     random.seed(1)
     base = [random.choice(["alpha", "beta", "gamma", "delta", "Eps", "zeta"]) + str(random.randrange(99)) for _ in range(300)]
     rows = list(AWKWARD)
@@ -61,7 +61,7 @@ def test_awkward_and_near_copies(spark, max_bucket):
         for _ in range(k % 4):
             words[random.randrange(300)] = "changed" + str(k)
         rows.append((100 + k, " ".join(words)))
-    assert result(docs(spark, rows, fp=1, component_id="x", text_hash=3), max_bucket=max_bucket) == expected(rows)
+    assert result(docs(spark, rows, fp=1, component_id="x", text_hash=3), max_bucket=max_bucket, hot_keys=hot_keys) == expected(rows)
 
 
 def test_real_documents(spark, sf):
