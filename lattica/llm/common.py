@@ -85,6 +85,19 @@ def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.Record
         yield batch.slice(i, step)
 
 
+#: Spark bounds Arrow batches by rows alone; fewer rows bound the bytes of long texts that a task holds.
+BATCH_ROWS = 1_000
+_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """`mapInArrow` on batches of at most BATCH_ROWS rows; sets that bound for the session unless it has a lower one."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_ROWS_CONF)) <= BATCH_ROWS:
+        conf.set(_ROWS_CONF, str(BATCH_ROWS))
+    return df.mapInArrow(fn, schema)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """`mapInArrow` with a function from a batch to columns; `schema` is the DDL of the result."""
     fields = StructType.fromDDL(schema).fields
@@ -96,7 +109,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
                 out = fn(batch)
                 yield pa.RecordBatch.from_arrays([pa.array(out[n], type=t) for n, t in zip(names, types)], names=names)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import staged
+from lattica.llm.common import map_arrow, staged
 
 VOCAB, HEAD, DIM, NOISE, STEPS = 511, 200_000, 24, 8, 300
 _FLUSH = 300_000
@@ -62,7 +62,7 @@ def token_counts(train: DataFrame) -> DataFrame:
                     counts.clear()
         yield out([*counts, None], [*counts.values(), ends])
 
-    return train.select("text").mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 0")
+    return map_arrow(train.select("text"), run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 0")
 
 
 def followers(train: DataFrame, index: dict[bytes, int], size: int) -> DataFrame:
@@ -79,7 +79,7 @@ def followers(train: DataFrame, index: dict[bytes, int], size: int) -> DataFrame
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at // size, pa.int32()), pa.array(at % size, pa.int32()), pa.array(total[at])], names=["c", "w", "n"])
 
-    return train.select("text").mapInArrow(run, "c int, w int, n long").groupBy("c", "w").agg(F.sum("n").alias("n"))
+    return map_arrow(train.select("text"), run, "c int, w int, n long").groupBy("c", "w").agg(F.sum("n").alias("n"))
 
 
 def fit(pairs: np.ndarray, dim: int = DIM, noise: int = NOISE, steps: int = STEPS, seed: int = 0) -> np.ndarray:
@@ -178,7 +178,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
             types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), *(pa.array(v, t) for v, t in zip(out.values(), types))], names=["row", "id", *out])
 
-    done = staged(df.mapInArrow(run, ddl), "scored")
+    done = staged(map_arrow(df, run, ddl), "scored")
     # tokens beyond the head: each is rare, so no key is hot
     tail = done.select("row", F.explode("tail").alias("token")).join(counts.where("token is not null"), "token")
     more = tail.groupBy("row").agg(F.sum(F.log10(F.col("n") + 1)).alias("tail_logs"), F.count(F.lit(1)).alias("tail_known"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import fold, map_batches, slices, texts_of
+from lattica.llm.common import fold, map_arrow, map_batches, slices, texts_of
 from lattica.llm.sampling import labelled
 
 MAX_ROWS, DIMS, STEPS, RIDGE, KEEP = 8_000, 1 << 15, 150, 1e-3, 0.35
@@ -180,4 +180,4 @@ def filtered(docs: DataFrame, labels: DataFrame, folds: int = 5, keep: float = K
             for batch in slices(whole):
                 yield batch.filter(pa.array(_tail(shared.value, _qualities(shared.value, batch, "text"), None) >= keep))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return map_arrow(docs, kept, docs.schema)

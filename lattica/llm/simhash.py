@@ -104,6 +104,19 @@ def spanning(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(u), np.concatenate(v)) if u else (fps[:0], fps[:0])
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 16_384) -> Iterator[pa.Table]:
+    """The batches, some together, so that what is done for each is worth it."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _bucket_edges(rows: DataFrame, max_bits: int, max_bucket: int) -> DataFrame:
     """From rows (bit, rest, fp) sorted by bucket: edges, or the rows of a bucket of over max_bucket."""
     names = ("bit", "rest", "u", "v")
@@ -132,7 +145,7 @@ def _bucket_edges(rows: DataFrame, max_bits: int, max_bucket: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held_fp, over = np.empty(0, np.int64), np.empty(0, np.int64), None
-        for b in batches:
+        for b in _gathered(batches):
             key = (b.column("bit").to_numpy().astype(np.int64) << 56) | b.column("rest").to_numpy()
             key, fps = np.r_[held_key, key], np.r_[held_fp, b.column("fp").to_numpy()]
             if not len(key):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import fold, map_batches, texts_of
+from lattica.llm.common import fold, map_arrow, map_batches, texts_of
 from lattica.llm.sampling import labelled
 
 MAX_ROWS, DISCOUNT, MIN_PAIR, MIX = 12_000, 1.0, 6, 0.01
@@ -132,7 +132,7 @@ def expression_counts(train: DataFrame) -> DataFrame:
             part = keys[i : i + 50_000]
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in part]), pa.array([k[1] for k in part], pa.string()), pa.array([counts[0][k] for k in part], pa.int64()), pa.array([counts[1][k] for k in part], pa.int64())], names=["w", "v", "ordinary", "toxic"])
 
-    return train.select("text", "_label").mapInArrow(run, "w string, v string, ordinary long, toxic long").groupBy("w", "v").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    return map_arrow(train.select("text", "_label"), run, "w string, v string, ordinary long, toxic long").groupBy("w", "v").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
 def train(docs: DataFrame, labels: DataFrame, is_train: Column, is_held_back: Column, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", max_rows: int = MAX_ROWS, mix: float = MIX) -> ToxicityModel:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import new_path, staged
+from lattica.llm.common import map_arrow, new_path, staged
 
 DATE, LEVEL, FILE_BYTES, _CHUNK = "2024-01-01T00:00:00Z", 6, 64 << 20, 1 << 20
 _BREAK = b"\r\n"
@@ -129,7 +129,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
             done.append((path, n))
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], names=["path", "records"])
 
-    return staged(joined.mapInArrow(run, "path string, records long"), "warc-files")
+    return staged(map_arrow(joined, run, "path string, records long"), "warc-files")
 
 
 def normalise_file(path: str, target: str, level: int = LEVEL) -> int:
