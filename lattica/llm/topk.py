@@ -25,6 +25,7 @@ fits. An empty table gives an empty table.
 from __future__ import annotations
 
 import pickle
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
