@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lattica.llm import packing, quality_classifier, quality_rules, secrets, simhash
+from lattica.llm import bpe, packing, quality_classifier, quality_rules, secrets, simhash
 from lattica.llm.common import staged, table
 
 
@@ -35,7 +35,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces, packed into sequences of 1024."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, end_id=2, capacity=1024)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, end_id=2, capacity=1024, special=bpe.added_tokens(public_tokenizers.path("byte_bpe_50k.json")))
 
 
 STAGES = [

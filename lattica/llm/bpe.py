@@ -17,6 +17,7 @@ empty table gives an empty table.
 from __future__ import annotations
 
 import base64
+import json
 from functools import lru_cache
 
 import numpy as np
@@ -33,11 +34,20 @@ CHUNK_CHARS, OVERLAP = 32_768, 1_024
 
 
 @lru_cache(maxsize=4)
-def encoding(path: str, pattern: str) -> tiktoken.Encoding:
-    """The encoding of a rank file, without special tokens; built once per Python worker."""
+def encoding(path: str, pattern: str, special: tuple[tuple[str, int], ...] = ()) -> tiktoken.Encoding:
+    """The encoding of a rank file with the special tokens given, by default none; built once per Python worker."""
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
+
+
+def added_tokens(path: str) -> tuple[tuple[str, int], ...]:
+    """(content, id) of the added tokens of a `tokenizers` JSON file, which that library finds inside texts before any merge."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f).get("added_tokens") or []
+    if any(t.get(flag) for t in found for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"added tokens of {path} aren't plain strings")
+    return tuple((t["content"], t["id"]) for t in found)
 
 
 def scan_boundaries(window: str, pattern: str, lo: int, hi: int, last: bool) -> list[int]:

@@ -13,7 +13,8 @@ every piece finds its place in one distributed pass. Only the run lengths and
 those intervals, both bounded by the capacity and not by the corpus, are on the
 driver.
 
-Null texts count as empty: a single end token. Repeated rows are packed each; an
+Added tokens of the vocabulary are found inside texts, as the `tokenizers` library
+does by default. Null texts count as empty: a single end token. Repeated rows are packed each; an
 empty table gives an empty table.
 """
 
@@ -41,16 +42,19 @@ def cut_lengths(n: int, capacity: int) -> list[int]:
     return [n % capacity] * (n % capacity > 0) + [capacity] * (n // capacity)
 
 
-def token_pieces(docs: DataFrame, vocab: str, pattern: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """(id_col, piece, start, length, ids_crc32[, ids binary]) of every document; ids are little-endian uint32."""
+def token_pieces(docs: DataFrame, vocab: str, pattern: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, special: tuple[tuple[str, int], ...] = ()) -> DataFrame:
+    """(id_col, piece, start, length, ids_crc32[, ids binary]) of every document; ids are little-endian uint32.
+
+    special: (content, id) of the added tokens, found wherever a text holds them.
+    """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = docs.schema["id"].dataType.simpleString()
 
     def pieces(batch: pa.RecordBatch) -> dict:
-        enc = encoding(vocab, pattern)
+        enc = encoding(vocab, pattern, special)
         out: dict = {"id": [], "piece": [], "start": [], "length": [], "ids_crc32": []} | ({"ids": []} if with_ids else {})
         for i, t in zip(batch.column("id").to_pylist(), texts_of(batch)):
-            ids = np.array([*enc.encode_ordinary(t), end_id], dtype="<u4").tobytes()
+            ids = np.array([*enc.encode(t, allowed_special="all", disallowed_special=()), end_id], dtype="<u4").tobytes()
             start = 0
             for k, n in enumerate(cut_lengths(len(ids) // 4, capacity)):
                 part = ids[4 * start : 4 * (start + n)]
@@ -135,14 +139,14 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, order: Iterable[str] = ()
     return map_batches(ranged, find, f"{ddl}, sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, vocab: str, pattern: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, vocab: str, pattern: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", special: tuple[tuple[str, int], ...] = ()) -> DataFrame:
     """(id_col, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every document."""
-    return place(staged(token_pieces(docs, vocab, pattern, end_id, capacity, id_col, text_col), "pieces"), capacity, (id_col, "piece"))
+    return place(staged(token_pieces(docs, vocab, pattern, end_id, capacity, id_col, text_col, special=special), "pieces"), capacity, (id_col, "piece"))
 
 
-def sequences(docs: DataFrame, placed: DataFrame, vocab: str, pattern: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sequences(docs: DataFrame, placed: DataFrame, vocab: str, pattern: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", special: tuple[tuple[str, int], ...] = ()) -> DataFrame:
     """(sequence_id, n_tokens, ids binary): the packed sequences themselves; id_col must be a key here."""
-    own = token_pieces(docs, vocab, pattern, end_id, capacity, id_col, text_col, with_ids=True)
+    own = token_pieces(docs, vocab, pattern, end_id, capacity, id_col, text_col, with_ids=True, special=special)
     return (
         own.join(placed.select(id_col, "piece", "sequence_id", "offset"), [id_col, "piece"])
         .groupBy("sequence_id")

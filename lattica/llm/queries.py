@@ -29,7 +29,7 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens, packed into sequences of 1024."""
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, end_id=2, capacity=1024)
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, end_id=2, capacity=1024, special=bpe.added_tokens(public_tokenizers.path("byte_bpe_50k.json")))
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

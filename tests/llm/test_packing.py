@@ -5,8 +5,9 @@ import numpy as np
 import public_tokenizers as P
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from lattica.llm import packing
+from lattica.llm import bpe, packing
 from lattica.llm.common import table
+from lattica.llm.queries import op3_best_fit_packing
 from tests.llm.helpers import AWKWARD, docs
 from tokenizers import Tokenizer
 
@@ -77,3 +78,24 @@ def test_sequences_hold_the_ids(spark):
 
 def test_empty_table(spark):
     assert packing.pack(docs(spark, []), *ARGS).collect() == []
+
+
+def test_added_tokens_inside_texts(spark, tmp_path):
+    """Ids are those of the library's defaults, in the query and in the packed sequences."""
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|>b  ", "<|endoftext|", "x  <|endoftext|>\n\n <|endoftext|>é" * 400, None]
+    df = docs(spark, list(enumerate(texts)))
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    want = Counter()
+    for i, text in enumerate(texts):
+        ids, start = [*t.encode(text or "", add_special_tokens=False).ids, 2], 0
+        for k, n in enumerate(packing.cut_lengths(len(ids), 1024)):
+            want[i, k, start, n, zlib.crc32(np.array(ids[start : start + n], "<u4").tobytes())] += 1
+            start += n
+    rows = op3_best_fit_packing(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    assert max(r.piece for r in rows) > 0
+    special = bpe.added_tokens(P.path("byte_bpe_50k.json"))
+    short = df.where("doc_id < 4")
+    packed = packing.sequences(short, packing.pack(short, *ARGS, special=special), *ARGS, special=special).collect()
+    assert sum(np.frombuffer(r.ids, "<u4").tolist().count(50256) for r in packed) == 4
