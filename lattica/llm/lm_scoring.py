@@ -1,20 +1,23 @@
 """Language-model scoring by a log-bilinear neural model, trained by noise-contrastive estimation.
 
 Tokens are lower-cased (A-Z) words between ASCII white space, then one end token.
-All training documents give the counts of every token and, over the `vocab` most
-frequent tokens and a class for the rest, how often each follows each. The
-model's score of token w after context c is r[c] C . q[w] + b[w]: a vector for
+All training documents give the counts of every token. The vocabulary is every
+token with at least `least_count` training tokens, so it grows with the corpus.
+The model's score of token w after context c is r[c] C . q[w] + b[w]: a vector for
 the context, a position matrix, a vector and a bias for the token. Training
 maximises the noise-contrastive objective against the unigram noise; as the
 follower counts of all training documents are at hand, its expectation is taken
-exactly, by matrix products, and not by drawing noise. Scores are then normalised
-over the vocabulary, for all contexts at once by matrix products. A token outside
-the vocabulary has the probability of the class times its add-one share of the
+exactly, by matrix products, and not by drawing noise. It has two steps. The `vocab`
+most frequent tokens, the end and one class of all other tokens are fitted
+together. Then each other token of the vocabulary gets vectors of its own from its
+sparse counts of which of those follow it and which it follows; given the first
+step's vectors each token is a problem of its own, and they are solved in tasks.
+Scores are normalised over the whole vocabulary. A token outside it has the probability of the class times its add-one share of the
 class's tokens, one more share being for unseen ones; so a text's score is a true
 log-probability.
 
-Token counts grow with the corpus and are never broadcast whole: the `head` most
-frequent ones go to every task, the other tokens of a text meet their counts in a
+Token counts grow with the corpus and are never broadcast whole: the vocabulary and
+the `head` most frequent ones go to every task, the other tokens of a text meet their counts in a
 join on the token.
 
 Null texts are empty: an end token alone. Repeated rows are scored each, and count
@@ -25,18 +28,21 @@ table gives an empty table.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lattica.llm.common import map_arrow, staged
 
 VOCAB, HEAD, DIM, NOISE, STEPS = 511, 200_000, 24, 8, 300
-_FLUSH = 300_000
+ROW_STEPS, PRIOR, WORD_BLOCK, Z_BLOCK = 40, 20.0, 512, 256
+_FLUSH, _PAIRS = 300_000, 3_000_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -65,25 +71,54 @@ def token_counts(train: DataFrame) -> DataFrame:
     return map_arrow(train.select("text"), run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 0")
 
 
-def followers(train: DataFrame, index: dict[bytes, int], size: int) -> DataFrame:
-    """(c int, w int, n long): how often token class w follows c; the end token is size - 1 and also stands before the first."""
+def followers(train: DataFrame, index: dict[bytes, int], top: int) -> DataFrame:
+    """(side byte, i int, k int, n long): follower counts, sparse, of all words of the index.
+
+    Ids are those of the index, 0 for words outside it, and len(index) + 1 for the end
+    token, which also stands before the first. A class is the id up to `top`, top + 1 for
+    the end and 0 for all others. Side 0: class k follows class i; 1: class k follows
+    word i, for words of class 0; 2: word i, of class 0, follows class k.
+    """
+    shared = train.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size * size, dtype=np.int64)
-        end, get = size - 1, index.get
+        get, end, size = shared.value.get, len(shared.value) + 1, top + 2
+        classes = np.zeros(end + 1, dtype=np.int64)
+        classes[: top + 1] = np.arange(top + 1)
+        classes[end] = top + 1
+        total, held, n_held = np.zeros(size * size, dtype=np.int64), [], 0
+
+        def out(side: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(side, pa.int8()), pa.array(key // size, pa.int32()), pa.array(key % size, pa.int32()), pa.array(n, pa.int64())], names=["side", "i", "k", "n"])
+
+        def flushed() -> pa.RecordBatch:
+            key, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return out(1 + key % 2, key // 2, n)
+
         for batch in batches:
             for t in batch.column("text").to_pylist():
                 words = tokens(t)
                 ids = np.fromiter((get(w, 0) for w in words), dtype=np.int64, count=len(words))
-                total += np.bincount(np.r_[end, ids] * size + np.r_[ids, end], minlength=size * size)
+                c, w = np.r_[end, ids], np.r_[ids, end]
+                kc, kw = classes[c], classes[w]
+                np.add.at(total, kc * size + kw, 1)
+                a, b = kc == 0, kw == 0
+                held += [2 * (c[a] * size + kw[a]), 2 * (w[b] * size + kc[b]) + 1]
+                n_held += int(a.sum() + b.sum())
+                if n_held > _PAIRS:
+                    yield flushed()
+                    n_held = 0
+        if held:
+            yield flushed()
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at // size, pa.int32()), pa.array(at % size, pa.int32()), pa.array(total[at])], names=["c", "w", "n"])
+        yield out(np.zeros(len(at)), at, total[at])
 
-    return map_arrow(train.select("text"), run, "c int, w int, n long").groupBy("c", "w").agg(F.sum("n").alias("n"))
+    return map_arrow(train.select("text"), run, "side byte, i int, k int, n long").groupBy("side", "i", "k").agg(F.sum("n").alias("n"))
 
 
-def fit(pairs: np.ndarray, dim: int = DIM, noise: int = NOISE, steps: int = STEPS, seed: int = 0) -> np.ndarray:
-    """log10 P(w | c) of all contexts and tokens (size x size) from the follower counts of the same shape.
+def fit(pairs: np.ndarray, dim: int = DIM, noise: int = NOISE, steps: int = STEPS, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts r C, token vectors q and biases b of the classes, from the follower counts of all pairs of classes.
 
     Adam on the expected noise-contrastive objective: an observed pair against
     `noise` pairs of the same context with a token of the unigram distribution.
@@ -112,34 +147,136 @@ def fit(pairs: np.ndarray, dim: int = DIM, noise: int = NOISE, steps: int = STEP
             m[i] = 0.9 * m[i] + 0.1 * dp
             v[i] = 0.99 * v[i] + 0.01 * dp * dp
             p += rate * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.99**t)) + 1e-10)
-    s = (r @ pos) @ q.T + b[None, :]
-    s -= s.max(axis=1, keepdims=True)
-    return ((s - np.log(np.exp(s).sum(axis=1, keepdims=True))) / np.log(10)).astype(np.float32)
+    return r @ pos, q, b
+
+
+def fit_rows(basis: np.ndarray, fixed: np.ndarray, start: np.ndarray, data: np.ndarray, drawn: np.ndarray, steps: int = ROW_STEPS) -> np.ndarray:
+    """For each row i of data the vector x that maximises the expected noise-contrastive objective, all else given.
+
+    The score of (i, k) against noise is basis[k] x[i] + fixed[i, k]; data and drawn
+    are how often the pair is seen and drawn as noise. Adam from `start`, to which a
+    ridge of PRIOR observations pulls, so rare words stay close to their class.
+    """
+    x, m, v = start.copy(), np.zeros_like(start), np.zeros_like(start)
+    n = data.sum(axis=1, keepdims=True) + PRIOR
+    for t in range(1, steps + 1):
+        p = 1 / (1 + np.exp(-np.clip(x @ basis.T + fixed, -40, 40)))
+        g = ((data * (1 - p) - drawn * p) @ basis - PRIOR * (x - start)) / n
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        x += 0.2 * (1 - (t - 1) / steps) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+    return x
+
+
+def fit_words(pairs: DataFrame, classes: np.ndarray, counts: np.ndarray, parts: tuple[np.ndarray, np.ndarray, np.ndarray], noise: int) -> DataFrame:
+    """(side, i, x): the context vector (side 1), or the token vector and then the bias (side 2), of each word of class 0.
+
+    pairs: followers(); classes: the follower counts of the classes; counts: training tokens of each id, the end last.
+    Each word's objective needs only its own sparse counts and the classes' vectors; blocks of words are fitted in tasks.
+    """
+    r, q, b = parts
+    unigram = (classes.sum(axis=0) + 0.5) / (classes.sum(axis=0) + 0.5).sum()
+    own = (counts + 0.5) / (counts + 0.5).sum()
+    shared = pairs.sparkSession.sparkContext.broadcast((r, q, b, unigram, own, classes.sum(axis=1)))
+
+    def fitted(group: pd.DataFrame) -> pd.DataFrame:
+        r, q, b, unigram, own, seen = shared.value
+        side = int(group["side"].iloc[0])
+        ids, at = np.unique(group["i"].to_numpy(), return_inverse=True)
+        data = np.zeros((len(ids), len(b)))
+        data[at, group["k"].to_numpy()] = group["n"].to_numpy()
+        if side == 1:
+            drawn = noise * data.sum(axis=1, keepdims=True) * unigram[None, :]
+            x = fit_rows(q, np.broadcast_to(b - np.log(noise * unigram), data.shape), np.repeat(r[:1], len(ids), axis=0), data, drawn)
+        else:
+            u = own[ids][:, None]
+            start = np.c_[np.repeat(q[:1], len(ids), axis=0), b[0] - np.log(unigram[0]) + np.log(u)]
+            x = fit_rows(np.c_[r, np.ones(len(r))], np.broadcast_to(-np.log(noise * u), data.shape), start, data, noise * u * seen[None, :])
+        return pd.DataFrame({"side": np.full(len(ids), side, np.int8), "i": ids.astype(np.int32), "x": list(x)})
+
+    block = F.floor(F.col("i") / WORD_BLOCK)
+    return pairs.where("side > 0").withColumn("block", block).groupBy("side", "block").applyInPandas(fitted, "side byte, i int, x array<double>")
+
+
+def normalisers(spark: SparkSession, r: np.ndarray, q: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """ln of the sum of exp(r[c] q[w] + b[w]) over all tokens w, for each context c; blocks of contexts in tasks."""
+    shared = spark.sparkContext.broadcast((r, q, b))
+    n = len(r)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r, q, b = shared.value
+        for batch in batches:
+            for lo in batch.column("id").to_pylist():
+                top, total = np.full(min(n - lo, Z_BLOCK), -np.inf), np.zeros(min(n - lo, Z_BLOCK))
+                for at in range(0, n, 16_384):
+                    s = r[lo : lo + Z_BLOCK] @ q[at : at + 16_384].T + b[None, at : at + 16_384]
+                    new = np.maximum(top, s.max(axis=1))
+                    total = total * np.exp(top - new) + np.exp(s - new[:, None].astype(np.float32)).sum(axis=1, dtype=np.float64)
+                    top = new
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(lo, lo + len(top))), pa.array(top + np.log(total))], names=["c", "z"])
+
+    blocks = -(-n // Z_BLOCK)
+    got = map_arrow(spark.range(0, n, Z_BLOCK, min(blocks, 64)), run, "c long, z double").toArrow()  # a number for each context
+    z = np.zeros(n)
+    z[got["c"].to_numpy()] = got["z"].to_numpy()
+    return z
 
 
 class Model:
-    """What scoring needs of the corpus, of bounded size: totals, head counts, the normalised matrix."""
+    """What scoring needs of the corpus: totals, head counts, and of each word of the vocabulary its vectors, bias and normaliser."""
 
-    def __init__(self, n: int, distinct: int, ends: int, head: dict[bytes, int], index: dict[bytes, int], matrix: np.ndarray) -> None:
-        self.n, self.distinct, self.ends, self.head, self.index, self.matrix = n, distinct, ends, head, index, matrix
+    def __init__(self, n: int, distinct: int, ends: int, head: dict[bytes, int], index: dict[bytes, int], parts: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]) -> None:
+        self.n, self.distinct, self.ends, self.head, self.index = n, distinct, ends, head, index
+        self.r, self.q, self.b, self.z = parts
         known = sum(head[w] for w in index)
         self.rest = (n - ends - known) + (distinct - (ends > 0) - len(index)) + 1  # shares of the class: its tokens, add-one, and one for the unseen
 
+    def log10(self, c: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """log10 P(w | c) of pairs of ids."""
+        return (np.einsum("ij,ij->i", self.r[c], self.q[w]) + self.b[w] - self.z[c]) / np.log(10)
+
+    @property
+    def matrix(self) -> np.ndarray:
+        """log10 P(w | c) of all pairs of ids; for small vocabularies."""
+        return (self.r @ self.q.T + self.b[None, :] - self.z[:, None]) / np.log(10)
+
+
+def least_count(n: int) -> int:
+    """Training tokens that a word of the vocabulary has at least: it grows with the square root of their number, so the vocabulary grows too."""
+    return max(5, math.ceil(math.sqrt(n) / 20))
+
 
 def train_model(docs: DataFrame, is_train: Column, text_col: str = "text", vocab: int = VOCAB, head: int = HEAD, dim: int = DIM, noise: int = NOISE, steps: int = STEPS) -> tuple[Model, DataFrame]:
-    """The model of the training rows of docs, and the counts of all their tokens."""
+    """The model of the training rows of docs, and the counts of all their tokens; the `vocab` most frequent words are classes of their own."""
+    spark = docs.sparkSession
     train = docs.where(is_train).select(F.col(text_col).alias("text"))
     counts = staged(token_counts(train), "tokens")
     n, distinct, ends = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("token").isNull(), F.col("n"))), F.lit(0))).first()
-    # at most `head` rows
-    most = counts.where("token is not null").orderBy(F.desc("n"), "token").limit(head).toArrow()
-    top = list(zip(most["token"].to_pylist(), most["n"].to_pylist()))
-    index = {w: i + 1 for i, (w, _) in enumerate(top[:vocab])}
+    words = counts.where("token is not null")
+    least = least_count(n)
+    many = words.where(F.col("n") >= least).count()
+    # the head, or the vocabulary if that is larger
+    most = words.orderBy(F.desc("n"), "token").limit(max(head, many)).toArrow()
+    tops = list(zip(most["token"].to_pylist(), most["n"].to_pylist()))
+    index = {w: i + 1 for i, (w, _) in enumerate(tops[: max(vocab, many)])}
+    top = min(vocab, len(index))
+    pairs = staged(followers(train, index, top), "followers")
+    classes = np.zeros((top + 2, top + 2))
+    got = pairs.where("side = 0").toArrow()  # at most (vocab + 2)^2 rows
+    classes[got["i"].to_numpy(), got["k"].to_numpy()] = got["n"].to_numpy()
+    r, q, b = fit(classes, dim, noise, steps)
     size = len(index) + 2
-    pairs = np.zeros((size, size))
-    got = followers(train, index, size).toArrow()  # at most (vocab + 2)^2 rows
-    pairs[got["c"].to_numpy(), got["w"].to_numpy()] = got["n"].to_numpy()
-    return Model(n, distinct, ends, dict(top), index, fit(pairs, dim, noise, steps)), counts
+    known = np.array([c for _, c in tops[: len(index)]], dtype=np.float64)
+    own = np.r_[max(0.0, n - ends - known.sum()), known, ends]
+    # words of class 0 start as the class; class 0 itself becomes the words outside the index
+    ids = np.r_[np.arange(top + 1), np.zeros(size - top - 2, dtype=np.int64), top + 1]
+    wr, wq, wb = r[ids], q[ids], b[ids]
+    for x in fit_words(pairs, classes, own, (r, q, b), noise).toLocalIterator():  # a vector for each word
+        if x["side"] == 1:
+            wr[x["i"]] = x["x"]
+        else:
+            wq[x["i"]], wb[x["i"]] = x["x"][:-1], x["x"][-1]
+    wr, wq, wb = (a.astype(np.float32) for a in (wr, wq, wb))
+    return Model(n, distinct, ends, dict(tops), index, (wr, wq, wb, normalisers(spark, wr, wq, wb))), counts
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -155,8 +292,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        size = len(m.matrix)
-        end, matrix, rest = size - 1, m.matrix, np.log10(m.rest)
+        end, rest = len(m.index) + 1, np.log10(m.rest)
         logs = {w: float(np.log10(c + 1)) for w, c in m.head.items()}
         end_log = float(np.log10(m.ends + 1))
         index, log = m.index.get, logs.get
@@ -172,7 +308,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
                 out["n_tokens"].append(len(words) + 1)
                 out["known"].append(len(words) - len(tail) + (m.ends > 0))
                 out["logs"].append(float(flat.sum()) + end_log)
-                out["model"].append(float(matrix[np.r_[end, ids], np.r_[ids, end]].sum(dtype=np.float64) + flat[other].sum() - rest * other.sum()))
+                out["model"].append(float(m.log10(np.r_[end, ids], np.r_[ids, end]).sum(dtype=np.float64) + flat[other].sum() - rest * other.sum()))
                 out["others"].append(int(other.sum()))
                 out["tail"].append(tail)
             types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.binary())]

@@ -123,3 +123,15 @@ def test_model_beats_the_base_on_held_out_documents(spark):
 def test_empty_table(spark):
     model, rows, _ = scored(docs(spark, []), steps=5)
     assert rows == [] and model.n == 0
+
+
+def test_the_vocabulary_and_its_followers_grow_with_the_corpus(spark):
+    """Words beyond the `vocab` most frequent have follower statistics of their own, as contexts and as tokens."""
+    rows = [(i, f"the a{i % 30} b{i % 30} the") for i in range(1200)]
+    model, *_ = scored(docs(spark, rows), vocab=1, head=100)
+    assert {w for w in model.index} == {b"the"} | {f"{x}{i}".encode() for x in "ab" for i in range(30)}
+    p, at = 10.0 ** model.matrix.astype(float), model.index
+    assert np.allclose(p.sum(axis=1), 1, atol=1e-4)
+    a, b = [at[f"a{i}".encode()] for i in range(30)], [at[f"b{i}".encode()] for i in range(30)]
+    assert (p[a, at[b"the"]] < 0.5 * p[b, at[b"the"]]).all()
+    assert p[at[b"the"]][a].sum() > 2 * p[at[b"the"]][b].sum()
