@@ -35,6 +35,17 @@ _SHAPE = bytes(0x58 if 65 <= c <= 90 else 0x78 if 97 <= c <= 122 or c >= 128 els
 _RUN = re.compile(rb"([Xx9])\1+")
 
 
+def _pieces(sums: Counter, size: int = 64) -> Counter:
+    """Names of over `size` bytes, as in unspaced scripts, in consecutive pieces that all count."""
+    if max(map(len, sums)) <= size:
+        return sums
+    out: Counter = Counter()
+    for name, n in sums.items():
+        for i in range(0, len(name), size):
+            out[name[i : i + size]] += n
+    return out
+
+
 def features(text: str, dims: int = DIMS) -> tuple[np.ndarray, np.ndarray]:
     """Indices and values of a text's features."""
     raw = text.encode("utf-8", "surrogatepass")
@@ -53,11 +64,12 @@ def features(text: str, dims: int = DIMS) -> tuple[np.ndarray, np.ndarray]:
     }
     index: dict[int, float] = {}
     for group, sums in ((b"w", counts), (b"s", shapes)):
+        sums = _pieces(sums)
         names = list(sums)
         values = np.log1p(np.fromiter(sums.values(), dtype=np.float64, count=len(names)))
         values /= np.sqrt((values**2).sum())
         for name, v in zip(names, values.tolist()):
-            k = zlib.crc32(name[:64], group[0]) % dims
+            k = zlib.crc32(name, group[0]) % dims
             index[k] = index.get(k, 0.0) + v
     for name, bucket in marks.items():
         k = zlib.crc32(b"%s=%d" % (name, bucket)) % dims

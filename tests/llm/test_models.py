@@ -135,3 +135,12 @@ def test_the_vocabulary_and_its_followers_grow_with_the_corpus(spark):
     a, b = [at[f"a{i}".encode()] for i in range(30)], [at[f"b{i}".encode()] for i in range(30)]
     assert (p[a, at[b"the"]] < 0.5 * p[b, at[b"the"]]).all()
     assert p[at[b"the"]][a].sum() > 2 * p[at[b"the"]][b].sum()
+
+
+def test_quality_features_cover_long_runs():
+    """What follows the first 64 bytes of a run counts, in words and in shapes; short words are as ever."""
+    pairs = lambda t: dict(zip(*(x.tolist() for x in quality_classifier.features(t))))
+    head = "ab1" * 30
+    assert pairs(head + "c") != pairs(head + "d")
+    assert pairs("a1" * 40) != pairs("a1" * 40 + "-A" * 20)
+    assert zlib.crc32(b"word", ord("w")) % quality_classifier.DIMS in pairs("a word")
