@@ -147,22 +147,23 @@ def top_k(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col:
         return pd.DataFrame({"b": [int(group["b"].iloc[0])], "sliced": [pickle.dumps(block, protocol=5)]})
 
     def gathered(group: pd.DataFrame) -> pd.DataFrame:
-        values = quantised(list(group["v"]), scale)
-        return pd.DataFrame({"qb": [int(group["qb"].iloc[0])], "queries": [pickle.dumps((group["id"].tolist(), values.tolist()), protocol=5)]})
+        # in a fixed order, so that its place numbers a query row, also one that repeats an id
+        rows = sorted(zip(group["id"].tolist(), quantised(list(group["v"]), scale).tolist()))
+        return pd.DataFrame({"qb": [int(group["qb"].iloc[0])], "queries": [pickle.dumps(rows, protocol=5)]})
 
     def met(pair: pd.DataFrame) -> pd.DataFrame:
-        block, out = pickle.loads(pair["sliced"].iloc[0]), []  # noqa: S301 - our own bytes
-        for qid, q in zip(*pickle.loads(pair["queries"].iloc[0])):  # noqa: S301
+        block, out, qb = pickle.loads(pair["sliced"].iloc[0]), [], int(pair["qb"].iloc[0])  # noqa: S301 - our own bytes
+        for nth, (qid, q) in enumerate(pickle.loads(pair["queries"].iloc[0])):  # noqa: S301
             ids, scores = block.top(q, qid, k)
             clipped = [max(-(2**63), min(2**63 - 1, s)) for s in scores]
-            out.append(pd.DataFrame({"query_id": qid, "id": ids, "score": np.array(clipped, dtype=np.int64)}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "id": [], "score": []}).astype("int64")
+            out.append(pd.DataFrame({"qb": qb, "nth": nth, "query_id": qid, "id": ids, "score": np.array(clipped, dtype=np.int64)}))
+        return pd.concat(out) if out else pd.DataFrame({"qb": [], "nth": [], "query_id": [], "id": [], "score": []}).astype("int64")
 
     index = base.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(row_blocks))).groupBy("b").applyInPandas(built, "b long, sliced binary")
     queries = base.where("q").withColumn("qb", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(query_blocks))).groupBy("qb").applyInPandas(gathered, "qb long, queries binary")
     dealt = index.withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))))
     pairs = dealt.join(queries, "qb").repartition(min(2_000, row_blocks * query_blocks), "qb", "b")
     # a pair is a group of its own: a task holds one at a time, however many it has
-    best = pairs.groupBy("qb", "b").applyInPandas(met, "query_id long, id long, score long")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    best = pairs.groupBy("qb", "b").applyInPandas(met, "qb long, nth long, query_id long, id long, score long")
+    rank = F.row_number().over(W.partitionBy("qb", "nth").orderBy(F.desc("score"), "id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")

@@ -56,3 +56,9 @@ def test_slices_add_up(values, query, k):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 2 == 0).collect() == []
+
+
+def test_repeated_query_rows_are_ranked_each(spark):
+    rows = [(10, [1.0, 1.0]), (10, [1.0, 1.0]), (10, [-1.0, 0.5])] + [(100 + i, [i / 9, i / 7 - 1]) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert result(df, F.col("vec_id") == 10, 6, block_rows=8) == brute(rows, lambda i: i == 10, 6)
