@@ -134,6 +134,15 @@ def join_hot(rows: DataFrame, keyed: DataFrame, key: str, weight: str, hot_keys:
     return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(other, key))
 
 
+#: Rows of a number and little more that are broadcast at most: some 100 MB in a task, however large the corpus.
+BROADCAST_ROWS = 1_000_000
+
+
+def only(rows: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
+    """rows joined with chosen, staged and with one row at most for each key; rows move only if chosen is too large to broadcast."""
+    return rows.join(F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen, key)
+
+
 def id_text(col) -> object:
     """An id as the text that the folds hash; null as empty."""
     return F.coalesce(col.cast("string"), F.lit(""))

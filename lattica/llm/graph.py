@@ -32,11 +32,12 @@ def _contracted(edges: DataFrame) -> DataFrame:
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step: neighbours above (large) or up to a node (small) move to its least neighbour.
 
-    The least neighbour comes from an aggregate and a join, not a window, so that a
-    hub's edges needn't meet in one task.
+    The least neighbour comes from an aggregate and a join, not a window, and is
+    written in between: so both sides of the join come straight from a shuffle, and
+    the adaptive planner can split a hub's edges among tasks.
     """
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
     joined = both.join(least, "u")
     if large:
         moved = joined.where(F.col("v") > F.col("u")).select(F.col("m").alias("u"), "v")

@@ -96,10 +96,71 @@ def test_components_of_a_path_a_star_and_a_ring(spark):
 
 def test_one_row_of_each_component_stays(spark):
     rows = [(5, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (9, "other words stand here now"), (None, "only here without id"), (None, "only here without id"), (None, "a b c d e f"), (11, None), (12, "")]
-    left = simhash.deduplicated(docs(spark, rows, _nth=1, extra="x"))
-    assert left.columns == [*docs(spark, []).columns, "_nth", "extra"]
-    assert sorted((r.doc_id or 0, r.text) for r in left.collect() if r.text) == [(0, "only here without id"), (3, "a b c d e f"), (9, "other words stand here now")]
-    assert sum(not r.text for r in left.collect()) == 1
+    clashing = {"_nth": 7, "_id": "x", "_hash": 1, "_own": "kept", "row": 3, "node": 4, "own": "o", "words": "w"}
+    left = simhash.deduplicated(docs(spark, rows, **clashing))
+    assert left.columns == [*docs(spark, []).columns, *clashing]
+    left = left.collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left if r.text) == [(0, "only here without id"), (3, "a b c d e f"), (9, "other words stand here now")]
+    assert sum(not r.text for r in left) == 1 and all({k: r[k] for k in clashing} == clashing for r in left)
+
+
+def test_groups_that_share_an_id_leave_a_row_each(spark):
+    one, two = "first cluster of words " * 9, "the second one is quite another text"
+    left = simhash.deduplicated(docs(spark, [(5, one), (5, two), (6, one), (7, two), (5, one)])).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == sorted([(5, one), (5, two)])
+
+
+def word_sets(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar_groups(rows, similarity=0.8):
+    """The smallest root of each row by exact similarity of all pairs."""
+    sets = [word_sets(t) for _, t in rows]
+
+    def linked(i, j):
+        a, b = sets[i], sets[j]
+        return a == b or bool(a and b) and len(a & b) >= similarity * len(a | b) - 1e-9
+
+    return slow_components(list(range(len(rows))), linked)
+
+
+def edited(rng, words, share):
+    return [w if rng.random() > share else f"new{rng.random()}" for w in words]
+
+
+@pytest.mark.parametrize("options", [{}, {"max_bucket": 4, "max_shingles": 500, "hot_keys": 3}])
+def test_groups_of_near_copies_equal_brute_force(spark, options):
+    rng = random.Random(4)
+    rows = list(AWKWARD)
+    for k in range(8):  # groups from 2 to 9, half the copies almost at the threshold
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([60, 200, 900]))]
+        rows += [(100 + 10 * k + i, " ".join(edited(rng, base, 0.001 if i % 2 else 0.012))) for i in range(2 + k)]
+    rng.shuffle(rows)
+    groups = similar_groups(rows)
+    first = {}
+    for i, (doc_id, _) in enumerate(rows):
+        key = (doc_id is None, doc_id or 0, i)
+        first[groups[i]] = min(key, first.get(groups[i], key))
+    got = simhash.deduplicated(docs(spark, rows).coalesce(1), **options)
+    assert sorted((r.doc_id or 0, r.text or "") for r in got.collect()) == sorted((k[1], rows[k[2]][1] or "") for k in first.values())
+
+
+def test_share_of_pairs_found_by_similarity(spark):
+    """Pairs just over the threshold are gathered with a probability of 0.9, closer ones nearly always; none below it."""
+    rng = random.Random(5)
+    rows, truth = [], {}
+    for k in range(400):
+        base = [f"w{rng.randrange(9000)}" for _ in range(300)]
+        other = edited(rng, base, rng.choice([0.005, 0.012, 0.02, 0.03]))
+        a, b = word_sets(" ".join(base)), word_sets(" ".join(other))
+        truth[2 * k + 1] = len(a & b) / len(a | b)
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    left = {r.doc_id for r in simhash.deduplicated(docs(spark, rows)).collect()}
+    found = lambda lo, hi: [i not in left for i, j in truth.items() if lo <= j < hi]
+    assert not any(found(0, 0.7999))
+    assert np.mean(found(0.8, 0.85)) > 0.85 and np.mean(found(0.85, 0.9)) > 0.93 and np.mean(found(0.9, 1.01)) > 0.97
 
 
 def test_empty_table(spark):
