@@ -11,8 +11,9 @@ then the exact bounds) decides
 * an identifier is linked if it starts in the scope of any secret,
 * an endpoint is linked if it starts in the scope of a linked secret,
 
-and only linked candidates are reported. The joins are semi-joins: no pairs are
-made. Everything is DataFrame functions.
+and only linked candidates are reported. An endpoint's own text, such as the path of
+a URL, is never a token. The joins are semi-joins: no pairs are made. Everything is
+DataFrame functions; within a text the work grows with its matches, not their square.
 
 A null text is empty and has no spans; spans are of code points, the end
 exclusive; repeated rows are scanned each; an empty table gives an empty table.
@@ -32,7 +33,7 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{32,}+"
 MIN_VALUE, MIN_ACCESS = 8, 16
 
 IDENT = r"(?i)\b(?:user(?:_?name)?|login|account(?:_?id)?|client_?id|access_?(?:key_?)?id|key_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.@-]{3,}"
-WEAK = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,64}[0-9])(?=[0-9+/_=-]{0,64}[A-Za-z])[A-Za-z0-9+/_=-]{20,}+"
+WEAK = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{20,}+"
 ENDPOINT = r"(?i)\b(?:https?|ftps?|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\x20\x09-\x0D\"'<>]+|\b(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]+(?::[0-9]{2,5})?|(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}:[0-9]{2,5}(?![0-9])"
 
 KINDS = ("assign", "access", "hex", "ident", "weak", "endpoint")
@@ -40,47 +41,89 @@ BASE = KINDS[:3]
 SCOPE = 200
 
 
-def matches(text: Column, pattern: str, least: int = 0, group: int = 0) -> Column:
-    """array<struct<start, stop>> of the leftmost non-overlapping matches whose group has `least` characters.
+NO_SPANS = "cast(array() as array<struct<start:int,stop:int>>)"
+_CHUNK = 512
 
-    Positions come from what lies between the matches: split() and
-    regexp_extract_all() find the same ones.
+
+def running(values: Column, step, start: int) -> Column:  # noqa: ANN001
+    """array<int> of what `step` (associative) makes of the values up to each, null for an empty array.
+
+    Arrays can only be appended to by copying them, so it is done in chunks of _CHUNK
+    values, whose ends are then carried forward: not quadratic in the values.
+    """
+
+    def appended(xs: Column, of) -> Column:  # noqa: ANN001
+        none = F.struct(F.lit(start).alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
+
+        def add(acc: Column, x: Column) -> Column:
+            new = step(acc["at"], of(x))
+            return F.struct(new.alias("at"), F.concat(acc["out"], F.array(new)).alias("out"))
+
+        return F.aggregate(xs, none, add, lambda a: a["out"])
+
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _CHUNK).cast("int")), lambda c: appended(F.slice(values, c * _CHUNK + 1, _CHUNK), lambda x: x))
+
+    def carried(c: Column) -> Column:
+        ends = F.concat(F.array(F.lit(start)), appended(c, lambda x: F.element_at(x, -1)))
+        return F.flatten(F.zip_with(c, F.slice(ends, 1, F.size(c)), lambda x, e: F.transform(x, lambda y: step(e, y))))
+
+    # a variable for the chunks, so that they are made once
+    return F.when(F.size(values) > 0, F.flatten(F.transform(F.array(chunks), carried)))
+
+
+def _found(text: Column, pattern: str, least: int = 0, group: int = 0, where: Column | None = None) -> Column:
+    """array<struct<gap, len, ok>>: what lies before each leftmost non-overlapping match, its length, and whether its group has `least` characters.
+
+    split() and regexp_extract_all() find the same matches.
     """
     p = F.lit(pattern)
-    got, between = F.regexp_extract_all(text, p, F.lit(0)), F.split(text, pattern, -1)
-    checked = F.transform(F.regexp_extract_all(text, p, F.lit(group)), F.length)
-    rows = F.arrays_zip(F.transform(between, F.length).alias("gap"), F.transform(got, F.length).alias("len"), checked.alias("ok"))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,stop:int>>)").alias("out"))
+    lengths = F.transform(F.regexp_extract_all(text, p, F.lit(0)), F.length)
+    ok = F.transform(F.regexp_extract_all(text, p, F.lit(group)) if group else lengths, lambda x: (F.length(x) if group else x) >= least)
+    gaps = F.transform(F.split(text, pattern, -1), F.length)
+    rows = F.arrays_zip(F.slice(gaps, 1, F.size(lengths)).alias("gap"), lengths.alias("len"), ok.alias("ok"))
+    none = F.expr("cast(array() as array<struct<gap:int,len:int,ok:boolean>>)")
+    return F.when(text.rlike(pattern) if where is None else where & text.rlike(pattern), rows).otherwise(none)
+
+
+def _placed(rows: Column) -> Column:
+    """array<struct<start, stop>> of the matches that are ok."""
+    stops = running(F.transform(rows, lambda x: x["gap"] + x["len"]), lambda a, x: a + x, 0)
+    spans = F.zip_with(rows, stops, lambda x, stop: F.struct((stop - x["len"]).alias("start"), stop.alias("stop"), x["ok"].alias("ok")))
+    return F.when(F.size(rows) > 0, F.transform(F.filter(spans, lambda x: x["ok"]), lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop")))).otherwise(F.expr(NO_SPANS))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + x["gap"]
-        stop = begin + F.coalesce(x["len"], F.lit(0))
-        found = F.array(F.struct(begin.alias("start"), stop.alias("stop")))
-        return F.struct(stop.alias("at"), F.when(x["ok"] >= least, F.concat(acc["out"], found)).otherwise(acc["out"]).alias("out"))
 
-    return F.when(text.rlike(pattern), F.aggregate(rows, start, step, lambda a: a["out"])).otherwise(F.expr("cast(array() as array<struct<start:int,stop:int>>)"))
+def _pair(spans: Column, *others: Column) -> Column:
+    """An array for _outside: the spans and the others, each marked."""
+    return F.concat(*[F.transform(x, lambda s: F.struct(s["start"].alias("start"), F.lit(k > 0).alias("other"), s["stop"].alias("stop"))) for k, x in enumerate((spans, *others))])
 
 
-def _outside(spans: Column, *others: Column) -> Column:
-    """The spans that touch none of the others."""
-    return F.filter(spans, lambda s: ~F.exists(F.concat(*others), lambda o: (o["start"] < s["stop"]) & (s["start"] < o["stop"])))
+def _outside(pair: Column) -> Column:
+    """The spans that touch none of the others: by start, none before ends behind it, none after starts within it."""
+    before = running(F.transform(pair, lambda s: F.when(s["other"], s["stop"]).otherwise(0)), F.greatest, 0)
+    after = F.reverse(running(F.reverse(F.transform(pair, lambda s: F.when(s["other"], s["start"]).otherwise(2**31 - 1))), F.least, 2**31 - 1))
+    zipped = F.arrays_zip(pair.alias("s"), before.alias("before"), after.alias("after"))
+    free = F.filter(zipped, lambda x: ~x["s"]["other"] & (x["before"] <= x["s"]["start"]) & (x["after"] >= x["s"]["stop"]))
+    return F.when(F.exists(pair, lambda s: ~s["other"]), F.transform(free, lambda x: F.struct(x["s"]["start"].alias("start"), x["s"]["stop"].alias("stop")))).otherwise(F.expr(NO_SPANS))
 
 
 def candidates(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), text_too: bool = False) -> DataFrame:
-    """A row per document: `row`, keep as struct `own`, and an array of spans for each kind.
+    """A row per document: `row`, keep as struct `own`, and an array of spans for each kind; with text_too the text, null as it was.
 
-    Weak candidates are sought only in texts that hold a part they could be linked to.
+    Weak candidates and endpoints are sought only in texts that hold an identifier.
+    Expressions over all kinds are written once, over an array: plans stay small.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    df = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("own"), text.alias("text"))
-    df = df.select("*", matches(F.col("text"), ASSIGN, MIN_VALUE, 2).alias("assign"), matches(F.col("text"), ACCESS, MIN_ACCESS).alias("access"), matches(F.col("text"), HEX).alias("hex"), matches(F.col("text"), IDENT).alias("ident"))
-    none = F.expr("cast(array() as array<struct<start:int,stop:int>>)")
-    df = df.withColumn("ident", _outside(F.col("ident"), F.col("assign"), F.col("access"), F.col("hex")))
-    named = (F.size("access") > 0) | (F.size("ident") > 0)
-    df = df.withColumn("weak", F.when(named, _outside(matches(F.col("text"), WEAK), F.col("assign"), F.col("access"), F.col("hex"), F.col("ident"))).otherwise(none))
-    secret = (F.size("assign") > 0) | (F.size("hex") > 0) | (F.size("weak") > 0)
-    df = df.withColumn("endpoint", F.when(named & secret, _outside(matches(F.col("text"), ENDPOINT), F.col("assign"), F.col("access"), F.col("hex"), F.col("ident"), F.col("weak"))).otherwise(none))
-    return df if text_too else df.drop("text")
+    own = F.struct(*[F.col(f"`{k}`") for k in keep]) if keep else F.struct(F.lit(0).alias("none"))
+    df = docs.select(F.monotonically_increasing_id().alias("row"), own.alias("own"), text.alias("text"), F.col(text_col).isNull().alias("missing"))
+    df = df.withColumn("named", F.col("text").rlike(f"{ACCESS}|{IDENT}"))
+    patterns = ((ASSIGN, MIN_VALUE, 2, None), (ACCESS, MIN_ACCESS, 0, None), (HEX, 0, 0, None), (IDENT, 0, 0, F.col("named")), (WEAK, 0, 0, F.col("named")), (ENDPOINT, 0, 0, F.col("named")))
+    df = df.withColumn("found", F.transform(F.array(*[_found(F.col("text"), *p) for p in patterns]), _placed))
+    kind = {k: F.col("found")[i] for i, k in enumerate(KINDS)}
+    base = [kind[k] for k in BASE]
+    pairs = F.array(_pair(kind["ident"], *base), _pair(kind["weak"], *base, kind["ident"], kind["endpoint"]), _pair(kind["endpoint"], *base, kind["ident"]))
+    df = df.withColumn("others", F.when(F.col("named"), F.transform(F.transform(pairs, lambda p: F.sort_array(p)), _outside)).otherwise(F.array(*[F.expr(NO_SPANS)] * 3)))
+    text = F.when(~F.col("missing"), F.col("text")).alias("text")
+    return df.select("row", "own", *([text] if text_too else []), *[c.alias(k) for k, c in kind.items() if k in BASE], *[F.col("others")[i].alias(k) for i, k in enumerate(KINDS[len(BASE) :])])
 
 
 def linked(cand: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -135,14 +178,13 @@ def written(spans: Column) -> Column:
 def redacted(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", scope: int = SCOPE) -> DataFrame:
     """docs with every span (overlapping ones as one) replaced by the mask; rows and columns stay, a null text too."""
     names = docs.columns
-    found = scan(docs, text_col, tuple(names), scope, text_too=True)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    found = scan(docs, text_col, tuple(n for n in names if n != text_col), scope, text_too=True)
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        piece = F.concat(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), F.when(fresh, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
+    def pieces(spans: Column) -> Column:
+        stops = running(F.transform(spans, lambda s: s["stop"]), F.greatest, 0)
+        zipped = F.zip_with(spans, F.concat(F.array(F.lit(0)), F.slice(stops, 1, F.size(spans) - 1)), lambda s, at: F.struct(s["start"].alias("start"), at.alias("at")))
+        fresh = F.filter(zipped, lambda x: x["start"] >= x["at"])
+        return F.concat(F.transform(fresh, lambda x: F.concat(F.substring(F.col("text"), x["at"] + 1, x["start"] - x["at"]), F.lit(mask))), F.array(F.substring(F.col("text"), F.element_at(stops, -1) + 1, F.length("text"))))
 
-    new = F.aggregate("spans", start, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    text = F.when(F.size("spans") > 0, new).otherwise(F.col("own")[text_col])
+    text = F.when(F.size("spans") > 0, F.array_join(F.flatten(F.transform(F.array("spans"), pieces)), "")).otherwise(F.col("text"))
     return found.select(*[text.alias(n) if n == text_col else F.col("own")[n].alias(n) for n in names])
