@@ -22,7 +22,8 @@ join on the token.
 
 Null texts are empty: an end token alone. Repeated rows are scored each, and count
 each in training. With no training document every count is zero, and the model
-is that of the class alone. Ties in frequency go to the smaller token. An empty
+is that of the class alone. Ties in frequency go to the smaller token; of tokens of
+one frequency all or none are in the head. An empty
 table gives an empty table.
 """
 
@@ -245,6 +246,21 @@ def least_count(n: int) -> int:
     return max(5, math.ceil(math.sqrt(n) / 20))
 
 
+def head_count(words: DataFrame, most: int) -> int:
+    """The least count that at most `most` words have: exact below 1024, then of the form k * 2^j with k of 64 to 127."""
+    n = F.col("n")
+    step = F.greatest(F.lit(1), F.expr("cast(pow(2, floor(log2(n)) - 6) as bigint)"))
+    bins = words.groupBy(F.when(n < 1024, n).otherwise(n - n % step).alias("at")).agg(F.count(F.lit(1)).alias("words"))
+    rows = sorted(((r["at"], r["words"]) for r in bins.collect()), reverse=True)  # at most some 5,000
+    held, least = 0, (rows[0][0] + 1 if rows else 1)
+    for at, more in rows:
+        held += more
+        if held > most:
+            break
+        least = at
+    return least
+
+
 def train_model(docs: DataFrame, is_train: Column, text_col: str = "text", vocab: int = VOCAB, head: int = HEAD, dim: int = DIM, noise: int = NOISE, steps: int = STEPS) -> tuple[Model, DataFrame]:
     """The model of the training rows of docs, and the counts of all their tokens; the `vocab` most frequent words are classes of their own."""
     spark = docs.sparkSession
@@ -254,9 +270,9 @@ def train_model(docs: DataFrame, is_train: Column, text_col: str = "text", vocab
     words = counts.where("token is not null")
     least = least_count(n)
     many = words.where(F.col("n") >= least).count()
-    # the head, or the vocabulary if that is larger
-    most = words.orderBy(F.desc("n"), "token").limit(max(head, many)).toArrow()
-    tops = list(zip(most["token"].to_pylist(), most["n"].to_pylist()))
+    # the head, or the vocabulary if that is larger, by a least count: no task sorts what others have
+    most = words.where(F.col("n") >= head_count(words, max(head, many))).toArrow()
+    tops = sorted(zip(most["token"].to_pylist(), most["n"].to_pylist()), key=lambda x: (-x[1], x[0]))
     index = {w: i + 1 for i, (w, _) in enumerate(tops[: max(vocab, many)])}
     top = min(vocab, len(index))
     pairs = staged(followers(train, index, top), "followers")
