@@ -5,7 +5,9 @@ and how long-lined it is, each in a bucket. One weight vector, shared by all
 grades, gives a text's quality; ordered thresholds cut it into grades:
 P(grade <= k) = logistic(threshold[k] - quality). The model gives the expected
 grade and the probability of the tail from a grade up, by which texts are chosen.
-With two grades it is logistic regression.
+The labels' marks give three grades: 0 bad, 1 good but toxic, 2 good; a document is
+kept by the probability of grade 1 or more, so toxic ones of good quality aren't
+rejected here. With two grades it is logistic regression.
 
 It is fitted on at most `max_rows` labelled rows, chosen by a hash of the id;
 scoring covers all rows and whole texts. Null and empty texts have only the
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from lattica.llm.common import fold, map_arrow, map_batches, slices, texts_of
 from lattica.llm.sampling import labelled
 
-MAX_ROWS, DIMS, STEPS, RIDGE, KEEP = 8_000, 1 << 15, 150, 1e-3, 0.35
+MAX_ROWS, DIMS, STEPS, RIDGE, KEEP, GOOD = 8_000, 1 << 15, 150, 1e-3, 0.35, 1.0
 
 _SHAPE = bytes(0x58 if 65 <= c <= 90 else 0x78 if 97 <= c <= 122 or c >= 128 else 0x39 if 48 <= c <= 57 else c for c in range(256))
 _RUN = re.compile(rb"([Xx9])\1+")
@@ -134,9 +136,14 @@ def fit(rows: np.ndarray, index: np.ndarray, values: np.ndarray, grades: list[fl
     return OrdinalModel(grades, w, free[0] + np.r_[0, np.cumsum(np.exp(free[1:]))])
 
 
-def train(docs: DataFrame, labels: DataFrame, is_train: Column, id_col: str = "doc_id", text_col: str = "text", label: str = "quality", max_rows: int = MAX_ROWS, dims: int = DIMS) -> OrdinalModel:
-    """The model of the labelled rows that are in training."""
-    rows = labelled(docs.select(id_col, text_col), labels, label, is_train, max_rows, id_col).select(F.col(text_col).alias("text"), F.col("_label").cast("double").alias("grade"))
+def rating() -> Column:
+    """The grade of a label: 0 without quality, 2 with, 1 if it is also marked toxic; null without a mark of quality."""
+    return F.when(F.col("quality") > 0, F.when(F.col("toxic") > 0, 1).otherwise(2)).when(F.col("quality").isNotNull(), 0)
+
+
+def train(docs: DataFrame, labels: DataFrame, is_train: Column, id_col: str = "doc_id", text_col: str = "text", label: Column | None = None, max_rows: int = MAX_ROWS, dims: int = DIMS) -> OrdinalModel:
+    """The model of the labelled rows that are in training; label: their grades, by default rating()."""
+    rows = labelled(docs, labels, rating() if label is None else label, is_train, max_rows, id_col, text_col).select("text", F.col("_label").cast("double").alias("grade"))
 
     def sparse(batch: pa.RecordBatch) -> dict:
         both = [features(t, dims) for t in texts_of(batch)]
@@ -176,20 +183,20 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
 
 
 def graded(docs: DataFrame, labels: DataFrame, folds: int = 5, keep: float = KEEP, max_rows: int = MAX_ROWS) -> DataFrame:
-    """(doc_id, held_out, expected_grade, tail, kept): fold 0 is held out of training."""
+    """(doc_id, held_out, expected_grade, tail, kept): fold 0 is held out of training; tail: the probability of GOOD or more."""
     held_out = fold(F.col("doc_id"), folds) == 0
     model = train(docs, labels, ~held_out, max_rows=max_rows)
-    return score(docs, model).select("doc_id", held_out.alias("held_out"), "expected_grade", "tail", (F.col("tail") >= keep).alias("kept"))
+    return score(docs, model, grade=GOOD).select("doc_id", held_out.alias("held_out"), "expected_grade", "tail", (F.col("tail") >= keep).alias("kept"))
 
 
 def filtered(docs: DataFrame, labels: DataFrame, folds: int = 5, keep: float = KEEP, max_rows: int = MAX_ROWS) -> DataFrame:
-    """The rows of docs whose probability of the highest grade is at least `keep`."""
+    """The rows of docs whose probability of grade GOOD or more is at least `keep`."""
     held_out = fold(F.col("doc_id"), folds) == 0
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, ~held_out, max_rows=max_rows))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
-                yield batch.filter(pa.array(_tail(shared.value, _qualities(shared.value, batch, "text"), None) >= keep))
+                yield batch.filter(pa.array(_tail(shared.value, _qualities(shared.value, batch, "text"), GOOD) >= keep))
 
     return map_arrow(docs, kept, docs.schema)

@@ -147,7 +147,7 @@ def expression_counts(train: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, is_train: Column, is_held_back: Column, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", max_rows: int = MAX_ROWS, mix: float = MIX, min_pair: int = MIN_PAIR) -> ToxicityModel:
     """The model of the labelled rows that are in training; those held back fit its curve. All that is fetched is bounded by max_rows documents."""
-    rows = labelled(docs.select(id_col, text_col), labels, label, is_train, max_rows, id_col).withColumnRenamed(text_col, "text")
+    rows = labelled(docs, labels, F.col(label), is_train, max_rows, id_col, text_col)
     counted = staged(expression_counts(rows.where(~is_held_back)), "expressions")
 
     def fetched(df: DataFrame) -> list[tuple]:

@@ -10,6 +10,7 @@ import pytest
 from lattica.llm import lm_scoring, quality_classifier, toxicity
 from lattica.llm.common import fold, table
 from lattica.llm.queries import op5_toxicity, op7_quality_classifier, op10_lm_scoring
+from lattica.llm.sampling import labelled
 from pyspark.sql import functions as F
 from tests.llm.helpers import AWKWARD, docs
 
@@ -113,6 +114,46 @@ def test_quality_on_held_out_documents(spark):
     assert sum(r.kept for r, y in held if not y) < 0.1 * sum(not y for _, y in held)
 
 
+def test_grades_of_labels_set_two_thresholds(spark):
+    """Three grades: toxic documents of good quality are between the others, and stay."""
+    d, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    model = quality_classifier.train(d, labels, F.lit(True))
+    assert model.grades == [0.0, 1.0, 2.0] and model.thresholds[0] < model.thresholds[1]
+    both = {r.doc_id: (r.quality, r.toxic) for r in labels.collect()}
+    rows = [r for r in quality_classifier.graded(d, labels).collect() if r.held_out and r.doc_id in both]
+    mean = lambda q, t: np.mean([r.expected_grade for r in rows if both[r.doc_id] == (q, t)])
+    assert mean(0, 0) < mean(1, 1) < mean(1, 0)
+    assert np.mean([r.kept for r in rows if both[r.doc_id] == (1, 1)]) > 0.9
+
+
+def test_likelihood_of_a_small_ordinal_model():
+    """The fit's slope vanishes where it stops: the brute-force likelihood has no better point around it."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(200, 3))
+    level = np.searchsorted([-0.5, 1], x @ [1.0, -1, 0.5] + rng.logistic(size=200))
+    m = quality_classifier.fit(np.repeat(np.arange(200), 3), np.tile(np.arange(3), 200), x.ravel(), [0.0, 1.0, 2.0], level, 3, steps=3000, ridge=0.0)
+
+    def likelihood(w, cuts):
+        edge = [-math.inf, *cuts, math.inf]
+        f = lambda v: 1 / (1 + math.exp(-v)) if abs(v) < 700 else float(v > 0)
+        return sum(math.log(f(edge[k + 1] - z) - f(edge[k] - z)) for z, k in zip((x @ w).tolist(), level.tolist()))
+
+    best = likelihood(m.weights, m.thresholds)
+    for i in range(5):
+        for step in (-0.05, 0.05):
+            p = np.r_[m.weights, m.thresholds]
+            p[i] += step
+            assert likelihood(p[:3], p[3:]) < best + 1e-3
+
+
+def test_labelled_rows_are_bounded_by_id(spark):
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(50)], "doc_id long, quality int, toxic int")
+    rows = docs(spark, [(3, f"text {i}") for i in range(200)] + [(i, "other") for i in range(50)])
+    assert labelled(rows, labels, F.col("quality"), F.lit(True), 20).count() == 20
+    whole = labelled(rows, labels, F.col("quality"), F.lit(True), 60).collect()
+    assert sorted(r.doc_id for r in whole) == list(range(50))
+
+
 def test_ordinal_model_keeps_thresholds_ordered_and_recovers_grades():
     rng = np.random.default_rng(0)
     n, dims = 3000, 50
