@@ -146,7 +146,14 @@ def substituted(template: Column, values: dict[str, Column]) -> Column:
 
 
 # Terminal colours.
-COLOURS = {"reset": "\033[0m", "dim": "\033[2m", "black": "\033[0;30m", "red": "\033[0;31m", "green": "\033[0;32m", "yellow": "\033[0;33m", "blue": "\033[0;34m", "purple": "\033[0;35m", "cyan": "\033[0;36m", "white": "\033[0;37m"}
+COLOURS = {
+    "reset": "\033[0m", "bold": "\033[1m", "dim": "\033[2m", "underlined": "\033[4m", "blink": "\033[5m", "reverse": "\033[7m", "hidden": "\033[8m",
+    "black": "\033[0;30m", "red": "\033[0;31m", "green": "\033[0;32m", "yellow": "\033[0;33m", "blue": "\033[0;34m", "purple": "\033[0;35m", "cyan": "\033[0;36m", "white": "\033[0;37m",
+    "bblack": "\033[1;30m", "bred": "\033[1;31m", "bgreen": "\033[1;32m", "byellow": "\033[1;33m", "bblue": "\033[1;34m", "bpurple": "\033[1;35m", "bcyan": "\033[1;36m", "bwhite": "\033[1;37m",
+    "ublack": "\033[4;30m", "ured": "\033[4;31m", "ugreen": "\033[4;32m", "uyellow": "\033[4;33m", "ublue": "\033[4;34m", "upurple": "\033[4;35m", "ucyan": "\033[4;36m", "uwhite": "\033[4;37m",
+    "iblack": "\033[0;90m", "ired": "\033[0;91m", "igreen": "\033[0;92m", "iyellow": "\033[0;93m", "iblue": "\033[0;94m", "ipurple": "\033[0;95m", "icyan": "\033[0;96m", "iwhite": "\033[0;97m",
+    "biblack": "\033[1;90m", "bired": "\033[1;91m", "bigreen": "\033[1;92m", "biyellow": "\033[1;93m", "biblue": "\033[1;94m", "bipurple": "\033[1;95m", "bicyan": "\033[1;96m", "biwhite": "\033[1;97m",
+}
 
 
 def colour(name: Column, monochrome: Column) -> Column:
@@ -167,3 +174,8 @@ def attached(size: Column, limit: Column, inclusive: bool = False) -> Column:
 
 def file_stamp(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd_HH-mm-ss")
+
+
+def medium_stamp(ts: Column) -> Column:
+    """The medium localised form, always in English."""
+    return F.date_format(ts, "MMM d, yyyy, h:mm:ss a")

@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which the smaller side of a product is taken to be a bounded side channel.
+from lattica.functions import scalars as S
+
+#: Rows up to which the side of a product is broadcast.
 MAX_SIDE_ROWS = 10_000
 
 
@@ -45,10 +47,8 @@ def collected(channel: DataFrame, item: str, *order: str) -> DataFrame:
 
 
 def combine(left: DataFrame, side: DataFrame) -> DataFrame:
-    """Every pair with a side channel of at most MAX_SIDE_ROWS rows; a larger one is refused."""
-    if len(side.limit(MAX_SIDE_ROWS + 1).collect()) > MAX_SIDE_ROWS:
-        raise ValueError(f"the side channel has over {MAX_SIDE_ROWS} rows; join on a key instead")
-    return left.crossJoin(F.broadcast(side))
+    """Every pair with a side channel; one of at most MAX_SIDE_ROWS rows is broadcast."""
+    return left.crossJoin(F.broadcast(side) if side.limit(MAX_SIDE_ROWS + 1).count() <= MAX_SIDE_ROWS else side)
 
 
 def joined_by_key(key: str, *channels: DataFrame) -> DataFrame:
@@ -69,6 +69,36 @@ def difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.subtract(b)
 
 
+def appended(items: Column, *more: Column) -> Column:
+    """An array with further items at its end; a null array counts as empty."""
+    return F.when(items.isNull(), F.array(*more)).otherwise(F.concat(items, F.array(*more)))
+
+
+def contains_all(items: Column, required: tuple[str, ...]) -> Column:
+    """Whether an array has all required items."""
+    return F.size(F.array_except(F.array(*map(F.lit, required)), items)) == 0
+
+
+def content_key(*columns: str) -> Column:
+    """The key of a task's cached output: a hash of the names and values of its inputs."""
+    return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
+
+
+def resumed(inputs: DataFrame, cached: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """What a resumed run has to do: inputs without a cached output, and inputs with it; cached: (key, output...)."""
+    keyed = inputs.withColumn("key", content_key(*columns))
+    return keyed.join(cached.select("key"), "key", "left_anti"), keyed.join(cached, "key")
+
+
+def with_extensions(tasks: DataFrame, extensions: DataFrame) -> DataFrame:
+    """tasks (process, id) that run, with args and prefix from extensions (process, args, prefix, enabled).
+
+    A null prefix or an empty one gives the id, missing args give none; a task runs unless enabled is false.
+    """
+    j = tasks.join(extensions.select("process", F.col("args").alias("_a"), F.col("prefix").alias("_p"), F.col("enabled").alias("_e")), "process", "left")
+    return when(j, F.col("_e")).withColumns({"args": S.or_else(F.col("_a"), F.lit("")), "prefix": S.or_else(F.col("_p"), F.col("id"))}).drop("_a", "_p", "_e")
+
+
 def overlay(rows: DataFrame, key: str, order: str, *ties: str) -> DataFrame:
     """For each key the row of the last layer; later layers win whole rows.
 

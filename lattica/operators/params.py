@@ -120,18 +120,52 @@ def channels_violate(channels: Column, required: tuple[str, ...] = ("conda-forge
 
 
 def leaf_errors(errors: DataFrame) -> DataFrame:
-    """Of a tree of errors (id, parent, message), those that no other error causes; depth counted from the roots."""
+    """Of a tree of errors (id, parent, message, ...), those that no other error causes, with their depth from the roots."""
     spark = errors.sparkSession
     errors.createOrReplaceTempView("_lattica_errors")
-    return spark.sql(
+    leaves = spark.sql(
         """
-        WITH RECURSIVE walk(id, depth, message) AS (
-            SELECT id, 0, message FROM _lattica_errors WHERE parent IS NULL
+        WITH RECURSIVE walk(id, depth) AS (
+            SELECT id, 0 FROM _lattica_errors WHERE parent IS NULL
             UNION ALL
-            SELECT e.id, w.depth + 1, e.message FROM _lattica_errors e JOIN walk w ON e.parent = w.id)
-        SELECT w.id, w.depth, w.message FROM walk w LEFT ANTI JOIN _lattica_errors e ON e.parent = w.id
+            SELECT e.id, w.depth + 1 FROM _lattica_errors e JOIN walk w ON e.parent = w.id)
+        SELECT w.id, w.depth FROM walk w LEFT ANTI JOIN _lattica_errors e ON e.parent = w.id
         """
     )
+    return leaves.join(errors.drop("parent"), "id")
+
+
+def required_without(required: Column, ignore: Column) -> Column:
+    """A group's required names without ignored ones; null stays null."""
+    return F.array_except(required, ignore)
+
+
+def parameter_of(pointer: Column) -> Column:
+    """The parameter that a violation's pointer names."""
+    return F.regexp_replace(pointer, "^#/", "")
+
+
+def missing_key(message: Column) -> Column:
+    """The key that a message reports as missing, null if it is another message."""
+    key = F.regexp_extract(message, r"^required key \[([^\]]+)\] not found$", 1)
+    return F.when(F.length(key) > 0, key)
+
+
+def error_messages(leaves: DataFrame, params: DataFrame, enums: DataFrame, limit: int = 5) -> DataFrame:
+    """(id, error) of leaf errors (id, message, pointer): a missing parameter, an error of all, a choice that isn't one, or a value's error.
+
+    params: (name, value); enums: (name, enum) of the parameters with choices.
+    """
+    named = leaves.withColumn("name", parameter_of(F.col("pointer")))
+    j = named.join(params.select("name", "value"), "name", "left").join(enums.select("name", "enum"), "name", "left")
+    key, value = missing_key(F.col("message")), F.coalesce("value", F.lit("null"))
+    error = (
+        F.when(key.isNotNull(), F.concat(F.lit("* Missing required parameter: --"), key))
+        .when(F.col("pointer") == "#", F.concat(F.lit("* "), F.col("message")))
+        .when(F.col("enum").isNotNull(), enum_message(F.col("name"), value, F.col("enum"), limit))
+        .otherwise(F.concat(F.lit("* --"), F.col("name"), F.lit(": "), F.col("message"), F.lit(" ("), value, F.lit(")")))
+    )
+    return j.select("id", error.alias("error"))
 
 
 def first_per(df: DataFrame, key: str, *order: str) -> DataFrame:

@@ -17,6 +17,34 @@ def run_summary(tasks: DataFrame, *by: str) -> DataFrame:
     return out.withColumn("status", status)
 
 
+def log_summary(runs: DataFrame, workflow: str, monochrome: Column) -> DataFrame:
+    """runs (n_failed, n_ignored, ...) with `line`, what the log tells at the end, coloured unless monochrome."""
+
+    def c(name: str) -> Column:
+        return S.colour(F.lit(name), monochrome)
+
+    done = F.when(F.col("n_failed") > 0, F.concat(c("red"), F.lit(" Pipeline completed with errors")))
+    done = done.when(F.col("n_ignored") > 0, F.concat(c("yellow"), F.lit(" Pipeline completed successfully, but with errored process(es) "))).otherwise(F.concat(c("green"), F.lit(" Pipeline completed successfully")))
+    return runs.withColumn("line", F.concat(F.lit("-"), c("purple"), F.lit(f"[{workflow}]"), done, c("reset"), F.lit("-")))
+
+
+def trace(tasks: DataFrame) -> DataFrame:
+    """The execution trace of tasks (task_id, name, inputs, exit, submit, complete): identity, status and times, in order of their ids when written."""
+    key = F.md5(F.concat_ws("|", "name", "inputs"))
+    status = F.when(F.col("exit").isNull(), "ABORTED").when(F.col("exit") == 0, "COMPLETED").otherwise("FAILED")
+    return tasks.select("task_id", F.concat(F.substring(key, 1, 2), F.lit("/"), F.substring(key, 3, 6)).alias("hash"), "name", status.alias("status"), "exit", "submit", (F.col("complete").cast("double") - F.col("submit").cast("double")).alias("duration"))
+
+
+def assembled(spark: SparkSession, tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(section, sample, metric, value) of all metric tables, each with the name of its sample column; null metrics are left out."""
+    out = spark.createDataFrame([], "section string, sample string, metric string, value double")
+    for name, (df, sample) in tables.items():
+        metrics = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in df.columns if c != sample])
+        long = df.select(F.lit(name).alias("section"), F.col(sample).cast("string").alias("sample"), F.explode(metrics).alias("m"))
+        out = out.unionByName(long.select("section", "sample", "m.metric", "m.value").where("value is not null"))
+    return out
+
+
 def sections(df: DataFrame, weight: str, group: str, item: str) -> DataFrame:
     """(group, html): definition lists of each group, by descending weight of their items; empty values are N/A."""
     entry = F.concat(F.lit("<dt>"), F.col(item), F.lit("</dt><dd><samp>"), S.or_else(F.col("value"), F.lit("N/A")), F.lit("</samp></dd>"))
@@ -49,21 +77,19 @@ def components_of_mask(batches):  # noqa: ANN001, ANN201
     for b in batches:
         out = []
         for path, content in zip(b["path"], b["content"]):
-            mask = np.load(io.BytesIO(content)) > 0
-            label, n = np.zeros(mask.shape, dtype=np.int64), 0
-            for start in zip(*np.nonzero(mask)):
-                if label[start]:
-                    continue
-                n += 1
-                stack = [start]
-                label[start] = n
-                while stack:
-                    i, j = stack.pop()
-                    for p in ((i + 1, j), (i - 1, j), (i, j + 1), (i, j - 1)):
-                        if 0 <= p[0] < mask.shape[0] and 0 <= p[1] < mask.shape[1] and mask[p] and not label[p]:
-                            label[p] = n
-                            stack.append(p)
-            for k in range(1, n + 1):
-                ys, xs = np.nonzero(label == k)
-                out.append((path, k, len(xs), float(xs.mean()), float(ys.mean())))
+            mask = np.pad(np.load(io.BytesIO(content)) > 0, 1)
+            # the least index of a region spreads to its neighbours until nothing changes
+            label = np.where(mask, np.arange(mask.size).reshape(mask.shape), mask.size)
+            while True:
+                near = np.minimum.reduce([label, np.roll(label, 1, 0), np.roll(label, -1, 0), np.roll(label, 1, 1), np.roll(label, -1, 1)])
+                new = np.where(mask, near, mask.size)
+                new = np.where(mask, np.r_[new.ravel(), mask.size][new], mask.size)
+                if (new == label).all():
+                    break
+                label = new
+            _, k = np.unique(label[mask], return_inverse=True)
+            ys, xs = np.nonzero(mask)
+            n = np.bincount(k)
+            cx, cy = np.bincount(k, xs - 1) / np.maximum(n, 1), np.bincount(k, ys - 1) / np.maximum(n, 1)
+            out += [(path, i + 1, int(n[i]), float(cx[i]), float(cy[i])) for i in range(len(n))]
         yield pd.DataFrame(out, columns=["path", "label", "n", "cx", "cy"])

@@ -16,9 +16,14 @@ REQUIRED = ("sample", "fastq_1", "fastq_2")
 FORMATS = (".fq.gz", ".fastq.gz")
 
 
+def missing_columns(header: list[str], required: tuple[str, ...] = REQUIRED) -> list[str]:
+    """The required columns that a header lacks, in their order."""
+    return [c for c in required if c not in header]
+
+
 def require_columns(df: DataFrame, required: tuple[str, ...] = REQUIRED) -> DataFrame:
     """df, or an error that names what is missing; further columns are allowed."""
-    missing = [c for c in required if c not in df.columns]
+    missing = missing_columns(df.columns, required)
     if missing:
         raise ValueError(f"The sample sheet must contain these column headers: {', '.join(required)}; missing: {', '.join(missing)}")
     return df
@@ -42,7 +47,10 @@ def sanitised() -> Column:
 
 
 def row_error() -> Column:
-    """The first failing check of a row, null if none: sample, first file, second file, pair."""
+    """The first failing check of a row, null if none: sample, first file, second file, pair.
+
+    Fixed values: the messages.
+    """
     f1, f2 = _text("fastq_1"), _text("fastq_2")
 
     def odd(c: Column) -> Column:
@@ -82,9 +90,9 @@ def validated(df: DataFrame) -> DataFrame:
 
 def strict(df: DataFrame) -> DataFrame:
     """validated(), failing at run time with the first row error or the duplicates."""
-    first = first_error(df).select(F.concat(F.col("error"), F.lit(" On line "), (F.col("line") + 2).cast("string"), F.lit(".")).alias("m"))
-    twice = duplicates(df).limit(1).select(F.lit("The pair of sample name and FASTQ must be unique.").alias("m"))
-    bad = first.unionByName(twice).agg(F.first("m").alias("_bad"))
+    first = first_error(df).select(F.lit(0).alias("rank"), F.concat(F.col("error"), F.lit(" On line "), (F.col("line") + 2).cast("string"), F.lit(".")).alias("m"))
+    twice = duplicates(df).limit(1).select(F.lit(1).alias("rank"), F.lit("The pair of sample name and FASTQ must be unique.").alias("m"))
+    bad = first.unionByName(twice).agg(F.min_by("m", "rank").alias("_bad"))  # a row's error is told before a pair's
     return validated(df).crossJoin(F.broadcast(bad)).where(F.when(F.col("_bad").isNotNull(), F.raise_error(F.col("_bad")).cast("boolean")).otherwise(True)).drop("_bad")
 
 

@@ -145,6 +145,13 @@ def prepared(metadata: DataFrame) -> DataFrame:
     return metadata.select("transcript_id", F.col("cell_id").alias("cell"), F.col("gene").cast("string").alias("gene"), "x", "y", F.col("cell_id").isNull().alias("is_noise"))
 
 
+def geojson(polygons: DataFrame) -> DataFrame:
+    """(cell_id, feature): a GeoJSON polygon of each ring, closed."""
+    point = F.transform(F.concat("ring", F.slice("ring", 1, 1)), lambda p: F.array(p["x"], p["y"]))
+    geometry = F.struct(F.lit("Polygon").alias("type"), F.array(point).alias("coordinates"))
+    return polygons.select("cell_id", F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.col("cell_id").alias("cell")).alias("properties"), geometry.alias("geometry"))).alias("feature"))
+
+
 def import_options(df: DataFrame) -> DataFrame:
     """df with `problem`: assignment excludes nuclei and cells and needs polygons, expansion is 0 to 100, the filter not negative."""
     given = {c: F.coalesce(F.length(c) > 0, F.lit(False)) for c in ("transcript_assignment", "viz_polygons", "nuclei", "cells")}

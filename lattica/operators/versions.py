@@ -39,10 +39,29 @@ def labelled(versions: DataFrame) -> DataFrame:
     return versions.withColumn("label", F.when(first, F.col("process")).otherwise(""))
 
 
-def html(versions: DataFrame) -> DataFrame:
-    """One row with the HTML table of a report."""
+def with_workflow(versions: DataFrame, engine: tuple[str, str], workflow: tuple[str, str]) -> DataFrame:
+    """versions with the entry Workflow: (name, version) of the engine and of the workflow; it replaces a module of that name."""
+    own = versions.sparkSession.createDataFrame([("Workflow", *engine), ("Workflow", *workflow)], "process string, tool string, version string")
+    return versions.where("process <> 'Workflow'").select("process", "tool", "version").unionByName(own)
+
+
+def section_document(table: DataFrame, workflow: str, link: str) -> DataFrame:
+    """(text): the report section's document around an HTML table (html)."""
+    fields = (("id", "software_versions"), ("section_name", f"{workflow} Software Versions"), ("section_href", link), ("plot_type", "html"), ("description", "are collected at run time from the software output."))
+    head = "".join(f"{k}: '{v}'\n" for k, v in fields)
+    indented = F.regexp_replace("html", "(?m)^", "  ")
+    return table.select(F.concat(F.lit(head + "data: |\n"), indented, F.lit("\n")).alias("text"))
+
+
+# The markup of the table, and its style.
+STYLE = "<style>\n#{id} tbody:nth-child(even) {{\n    background-color: #f2f2f2;\n}}\n</style>\n"
+
+
+def html(versions: DataFrame, table_id: str | None = None) -> DataFrame:
+    """One row with the HTML table of a report; with an id also its style."""
     row = F.format_string("<tr><td><samp>%s</samp></td><td><samp>%s</samp></td><td><samp>%s</samp></td></tr>", "label", "tool", "version")
     body = labelled(versions).groupBy("process").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("tool", "version", row.alias("row")))), lambda s: s["row"]), "\n").alias("rows"))
     all_rows = F.transform(F.sort_array(F.collect_list(F.struct("process", "rows"))), lambda s: F.concat(F.lit("<tbody>\n"), s["rows"], F.lit("\n</tbody>")))
-    head = '<table class="table" style="width:100%">\n<thead><tr><th> Process Name </th><th> Software </th><th> Version  </th></tr></thead>\n'
+    style, own = (STYLE.format(id=table_id), f' id="{table_id}"') if table_id else ("", "")
+    head = f'{style}<table class="table" style="width:100%"{own}>\n<thead><tr><th> Process Name </th><th> Software </th><th> Version  </th></tr></thead>\n'
     return body.agg(F.concat(F.lit(head), F.array_join(all_rows, "\n"), F.lit("\n</table>")).alias("html"))

@@ -7,30 +7,15 @@ as software versions, embeddings as transcripts, events as tasks.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lattica.functions import scalars as S
 from lattica.operators import catalogue, dataflow, params, report, sheet, spatial, versions
+from lattica.plans.registry import query
 from lattica.sinks import writers
 from lattica.sources.readers import load
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable:
-    def add(f: Callable) -> Callable:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
 # --- sheets -----------------------------------------------------------------
 
 _SHEET = """(SELECT o_orderkey AS line, 'cust ' || o_custkey AS sample, 'run_' || o_orderkey || '.fastq.gz' AS fastq_1,
@@ -91,7 +76,7 @@ def sheet_reads_struct(spark, d):  # noqa: ANN001, ANN201
 @query("SELECT n_nationkey, n_nationkey % 2 = 0 AS complete FROM nation")
 def sheet_required_cols(spark, d):  # noqa: ANN001, ANN201
     header = F.when(F.col("n_nationkey") % 2 == 0, F.array(*map(F.lit, (*sheet.REQUIRED, "extra")))).otherwise(F.array(F.lit("sample"), F.lit("fastq_1")))
-    return load(spark, d, "nation").select("n_nationkey", (F.size(F.array_except(F.array(*map(F.lit, sheet.REQUIRED)), header)) == 0).alias("complete"))
+    return load(spark, d, "nation").select("n_nationkey", dataflow.contains_all(header, sheet.REQUIRED).alias("complete"))
 
 
 @query("SELECT DISTINCT 'doc_' || doc_id AS path FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -242,16 +227,33 @@ def params_enum_pattern_type(spark, d):  # noqa: ANN001, ANN201
     return params.violations(e.where("event_id % 40 <> 5").select(name.alias("name"), F.col("event_type").alias("value")), schema)
 
 
-@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_discount <> 0")
+@query("""SELECT l_orderkey, l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN l_linenumber || 'day' WHEN 1 THEN (l_discount * 100)::INT::VARCHAR ELSE 'true' END AS value
+  FROM lineitem WHERE CASE l_linenumber % 3 WHEN 0 THEN true WHEN 1 THEN (l_discount * 100)::INT <> 0 ELSE l_returnflag = 'A' END""")
 def params_clean(spark, d):  # noqa: ANN001, ANN201
-    rows = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.lit("number").alias("type"), F.col("l_discount").cast("string").alias("value"))
-    return params.cleaned(rows).select("l_orderkey", "l_linenumber")
+    n = F.col("l_linenumber")
+    kind = F.when(n % 3 == 0, "duration").when(n % 3 == 1, "number").otherwise("boolean")
+    value = F.when(n % 3 == 0, F.concat(n.cast("string"), F.lit("d"))).when(n % 3 == 1, F.round(F.col("l_discount") * 100).cast("int").cast("string")).otherwise(F.when(F.col("l_returnflag") == "A", "true").otherwise("false"))
+    return params.cleaned(load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", kind.alias("type"), value.alias("value"))).select("l_orderkey", "l_linenumber", "value")
+
+
+_WRAP = "list_reduce(string_split({t}, ' '), lambda acc, w: CASE WHEN length(string_split(acc, chr(10))[-1]) + length(w) <= {n} THEN acc || w || ' ' ELSE acc || chr(10) || w || ' ' END, '')"
 
 
-@query()
+@query(f"SELECT item_id, CASE WHEN length(text) <= 60 THEN text ELSE {_WRAP.format(t='text', n=60)} END AS text FROM (SELECT doc_id AS item_id, replace(left(text, 2000), chr(10), ' ') AS text FROM documents)")
+def text_wrap(spark, d):  # noqa: ANN001, ANN201
+    # a description is short: the start of each text stands for one
+    return load(spark, d, "documents").select(F.col("doc_id").alias("item_id"), F.array_join(S.wrapped(F.replace(F.left("text", F.lit(2000)), F.lit("\n"), F.lit(" ")), 60), "\n").alias("text"))
+
+
+_HELP = "p_name || ' ' || p_type || ' [default: ' || p_size || ']'"
+
+
+@query(f"""SELECT p_brand AS grp, 'p' || p_partkey AS name, '  --' || rpad('p' || p_partkey, (SELECT max(length('p' || p_partkey)) FROM part)::INT, ' ') || rpad(CASE WHEN p_size % 2 = 0 THEN '[integer]' ELSE '[string]' END, 10, ' ')
+  || CASE WHEN length({_HELP}) <= 24 THEN {_HELP} ELSE {_WRAP.format(t=_HELP, n=24)} END AS text FROM part WHERE p_size <= 40""")
 def params_help_wrap(spark, d):  # noqa: ANN001, ANN201
-    lines = S.wrapped(F.col("text"), 60)
-    return load(spark, d, "benchmark").select("item_id", F.size(lines).alias("n_lines"), F.array_join(lines, "\n").alias("text"))
+    size = F.col("p_size")
+    schema = load(spark, d, "part").select(F.col("p_brand").alias("grp"), F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("name"), F.when(size % 2 == 0, "integer").otherwise("string").alias("type"), F.concat("p_name", F.lit(" "), "p_type").alias("title"), size.cast("string").alias("default"), (size > 40).alias("hidden"))
+    return params.help_lines(schema, 24)
 
 
 @query("SELECT p_brand AS grp, count(*) FILTER (p_size <= 25) AS shown, count(*) FILTER (p_size > 25) AS hidden FROM part GROUP BY 1 HAVING count(*) FILTER (p_size <= 25) > 0")
@@ -451,14 +453,20 @@ def cell_gene_rates(spark, d):  # noqa: ANN001, ANN201
     return spatial.rates(spatial.counts(assigned_of(spark, d)), exposure).withColumn("rate", F.round("rate", 6))
 
 
-@query()
+_EDGES = """SELECT a.cell_id, a.z, a.x, a.y FROM p a WHERE EXISTS (SELECT 1 FROM p b WHERE b.cell_id = a.cell_id AND b.z = a.z AND (b.x <> a.x OR b.y <> a.y)
+  AND NOT EXISTS (SELECT 1 FROM p c WHERE c.cell_id = a.cell_id AND c.z = a.z AND (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) < 0))"""
+
+
+@query(f"WITH p AS (SELECT DISTINCT gene AS cell_id, 0 AS z, x, y FROM {_POINTS}) SELECT cell_id, x, y FROM ({_EDGES})")
 def cell_hull(spark, d):  # noqa: ANN001, ANN201
-    return spatial.hulls(points_of(spark, d).withColumnRenamed("gene", "cell_id"))
+    rings = spatial.hulls(points_of(spark, d).withColumnRenamed("gene", "cell_id"))
+    return rings.select("cell_id", F.explode("ring").alias("p")).select("cell_id", "p.x", "p.y")
 
 
-@query()
+@query(f"WITH p AS (SELECT DISTINCT gene AS cell_id, (transcript_id % 3)::INT AS z, x, y FROM {_POINTS}) {_EDGES}")
 def cell_layer_hulls(spark, d):  # noqa: ANN001, ANN201
-    return spatial.hulls(points_of(spark, d).withColumnRenamed("gene", "cell_id").withColumn("z", (F.col("transcript_id") % 3).cast("int")), "cell_id", "z")
+    rings = spatial.hulls(points_of(spark, d).withColumnRenamed("gene", "cell_id").withColumn("z", (F.col("transcript_id") % 3).cast("int")), "cell_id", "z")
+    return rings.select("cell_id", "z", F.explode("ring").alias("p")).select("cell_id", "z", "p.x", "p.y")
 
 
 @query("""SELECT p_partkey, CASE WHEN p_size % 4 = 0 AND p_size % 3 = 0 THEN 'transcript_assignment excludes nuclei and cells' WHEN p_size % 4 = 0 AND p_size % 5 <> 0 THEN 'transcript_assignment needs viz_polygons'

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lattica.functions import scalars as S
@@ -28,6 +28,25 @@ def version_document(versions: DataFrame) -> DataFrame:
     return versions.groupBy("process").agg(F.concat(F.col("process"), F.lit(":\n"), F.array_join(lines, "\n")).alias("text"))
 
 
+def write_file(spark: SparkSession, path: str, content: str | bytes) -> None:
+    """One small file with the given content, in any store that Spark opens; it replaces one of that name."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    stream.write(bytearray(content.encode() if isinstance(content, str) else content))
+    stream.close()
+
+
+def write_reports(spark: SparkSession, folder: str, html: str, text: str) -> None:
+    """The run's report in both forms, pipeline_report.html and pipeline_report.txt."""
+    for form, content in (("html", html), ("txt", text)):
+        write_file(spark, f"{folder.rstrip('/')}/pipeline_report.{form}", content)
+
+
+def append_versions(versions: DataFrame, path: str) -> None:
+    """Adds a process's (process, tool, version) rows to the version table."""
+    versions.select("process", "tool", "version").write.mode("append").parquet(path)
+
+
 def publish(files: DataFrame, path: str) -> None:
     """File records (process, name, ...) by the folder of their process; version documents are left out."""
     routed(files).write.mode("overwrite").partitionBy("folder").parquet(path)

@@ -27,7 +27,7 @@ def sniffed(spark: SparkSession, path: str, lines: int = 10) -> csv.Dialect:
     """The dialect of a sheet, from its first lines; an error if they show no header."""
     peek = "\n".join(r.value for r in spark.read.text(path).limit(lines).collect()) + "\n"
     if not csv.Sniffer().has_header(peek):
-        raise ValueError("The given sample sheet does not appear to contain a header.")
+        raise ValueError("no header found in the first lines of the sheet")
     return csv.Sniffer().sniff(peek)
 
 
@@ -149,6 +149,19 @@ def unpacked(spark: SparkSession, path: str) -> DataFrame:
     return files(spark, path, content=True).select("path", "content").mapInPandas(members, "archive string, name string, content binary")
 
 
+def layered(spark: SparkSession, layers: list[tuple[str, bool]]) -> DataFrame:
+    """(name, value) of JSON objects of scalars, later layers winning; layers: (path, optional), a missing optional one only warns."""
+    out = spark.createDataFrame([], "layer int, name string, value string")
+    for i, (path, optional) in enumerate(layers):
+
+        def read(path: str = path, i: int = i) -> DataFrame:
+            own = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string, string>")).alias("name", "value"))
+            return own.select(F.lit(i).alias("layer"), "name", "value")
+
+        out = out.unionByName(optional_layer(read, out.limit(0)) if optional else read())
+    return out.groupBy("name").agg(F.max_by("value", "layer").alias("value"))
+
+
 def optional_layer(read, default: DataFrame) -> DataFrame:  # noqa: ANN001
     """What read() gives, or the default, with a warning, if the layer can't be had."""
     import warnings

@@ -1,11 +1,16 @@
 """Edge cases of the operators, sources, sinks and streaming."""
 
 import json
+import os
+import shutil
+import subprocess
+import sys
 import zipfile
+from pathlib import Path
 
 import pytest
 from lattica.functions import scalars as S
-from lattica.operators import catalogue, dataflow, params, report, sheet, spatial, versions
+from lattica.operators import catalogue, dataflow, guards, params, report, sheet, spatial, versions
 from lattica.sinks import writers
 from lattica.sources import readers
 from lattica.streaming import ingest
@@ -171,8 +176,6 @@ def test_sinks(spark, tmp_path):
 
 def test_channels(spark):
     assert dataflow.collected(dataflow.empty(spark, "a int"), "a").first().items == []
-    with pytest.raises(ValueError, match="rows"):
-        dataflow.combine(spark.range(1), spark.range(dataflow.MAX_SIDE_ROWS + 1))
 
 
 def test_hulls_and_shells(spark, tmp_path):
@@ -212,8 +215,82 @@ def test_streams(spark, tmp_path):
     spark.streams.removeListener(listener)
 
 
-def test_entry_point_without_the_training_data_operators(spark):
+def test_entry_point(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() == 1500
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_entry_point_without_the_training_data_operators(tmp_path):
+    """With their folders and the pipeline deleted the rest imports, and keeps its queries; another missing module is told."""
+    root = Path(__file__).resolve().parents[1]
+    shutil.copytree(root / "lattica", tmp_path / "lattica", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+
+    def run(code):
+        return subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+
+    out = run("import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), any(n.startswith('op') or n == 'pipeline' for n in e.queries()))")
+    assert out.returncode == 0, out.stderr
+    from lattica.plans.queries import ORACLES, QUERIES
+
+    assert out.stdout.split() == [str(len(QUERIES)), str(len(ORACLES)), "False"]
+    (tmp_path / "corpus_pipeline.py").write_text("import a_module_that_is_not_there\n")
+    assert "a_module_that_is_not_there" in run("import __spark_entry__ as e; e.queries()").stderr
+
+
+def test_a_row_error_is_told_before_duplicates(spark):
+    both = spark.createDataFrame([(0, "F", "f.txt", "", ""), (1, "F", "f.txt", "", "")], SHEET)
+    with pytest.raises(PySparkException, match="unrecognized extension"):
+        sheet.strict(both).collect()
+
+
+def test_combine_with_a_side_of_any_size(spark):
+    left = dataflow.of(spark, [(1,), (2,)], "a int")
+    assert dataflow.combine(left, spark.range(dataflow.MAX_SIDE_ROWS + 1)).count() == 2 * (dataflow.MAX_SIDE_ROWS + 1)
+    assert dataflow.combine(left, spark.range(0)).count() == 0
+
+
+def test_lists_and_guards_of_nulls(spark):
+    none = F.lit(None).cast("array<string>")
+    got = one(spark, a=dataflow.appended(none, F.lit("x")), b=guards.any_of(none, F.array(F.lit("x"))), c=guards.barred_profile(F.lit(None).cast("string"), F.lit("S")), d=guards.batch_problem(F.lit(None).cast("string"), F.lit("q"), F.lit("r"), F.lit("o")))
+    assert got.a == ["x"] and got.b is False and got.c is None and got.d is None
+
+
+def test_regions_of_a_mask():
+    import io
+
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(0)
+    mask = rng.random((30, 40)) < 0.55
+    content = io.BytesIO()
+    np.save(content, mask)
+    (got,) = report.components_of_mask([pd.DataFrame({"path": ["m"], "content": [content.getvalue()]})])
+    left, want = set(zip(*np.nonzero(mask))), []
+    for start in sorted(left):
+        if start in left:
+            left.discard(start)
+            region, edge = [], [start]
+            while edge:
+                i, j = edge.pop()
+                region.append((i, j))
+                for p in ((i + 1, j), (i - 1, j), (i, j + 1), (i, j - 1)):
+                    if p in left:
+                        left.discard(p)
+                        edge.append(p)
+            want.append((len(region), *np.mean(region, axis=0)[::-1]))
+    assert got["n"].tolist() == [n for n, _, _ in want]
+    assert np.allclose(got[["cx", "cy"]], [w[1:] for w in want])
+
+
+def test_shared_folder_is_needed_beyond_local_mode():
+    from types import SimpleNamespace
+
+    from lattica.sources import shared
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_dir(cluster)

@@ -6,7 +6,7 @@ from datetime import datetime
 
 import duckdb
 import pytest
-from lattica.plans.catalog import ORACLES, QUERIES
+from lattica.plans.queries import ORACLES, QUERIES
 from lattica.sources.readers import TABLES
 
 SF = "/root/testdata/sf0.01"
