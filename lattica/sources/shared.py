@@ -30,11 +30,11 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write `df` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
