@@ -12,9 +12,6 @@ Conventions that hold for every operator of this subpackage:
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -23,7 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-_STAGED: list[str] = []
+from lattica.sources.shared import clear_staged, new_path, shared_dir, staged
+
+__all__ = ["clear_staged", "new_path", "shared_dir", "staged"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,47 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder shared by driver and executors; a private one only if the session names none."""
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not configured:
-        configured = "file://" + tempfile.mkdtemp(prefix="lattica-")
-        sc.setCheckpointDir(configured)
-    return configured.rstrip("/")
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; `clear_staged` removes it."""
-    path = f"{shared_dir(spark)}/lattica/{label}-{uuid.uuid4().hex}"
-    _STAGED.append(path)
-    return path
-
-
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def open_file(path: str, mode: str):  # noqa: ANN201
+    """A file in any store that Arrow opens: to write ("w"), to read through ("r"), or from any place ("seek")."""
+    from pyarrow import fs
 
-
-def clear_staged(spark: SparkSession) -> None:
-    """Remove what `staged` and `new_path` have left; results still to be read from them are lost."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _STAGED:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(conf).delete(path, True)
-
-
-@atexit.register
-def _at_exit() -> None:
-    try:
-        spark = SparkSession.getActiveSession()
-        if spark is not None and _STAGED:
-            clear_staged(spark)
-    except Exception:  # the session may be gone already
-        pass
+    system, name = fs.FileSystem.from_uri(path)
+    if mode == "w":
+        system.create_dir(name.rsplit("/", 1)[0], recursive=True)
+        return system.open_output_stream(name, compression=None)
+    return system.open_input_file(name) if mode == "seek" else system.open_input_stream(name, compression=None)
 
 
 #: Batches are cut into slices of about so many bytes before Python works on them.
@@ -91,7 +58,11 @@ _ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """`mapInArrow` on batches of at most BATCH_ROWS rows; sets that bound for the session unless it has a lower one."""
+    """`mapInArrow` on batches of at most BATCH_ROWS rows.
+
+    The bound is a setting of the session, read when a plan runs: it stays set, unless
+    the session has a lower one. Other queries only get smaller batches by it.
+    """
     conf = df.sparkSession.conf
     if not 0 < int(conf.get(_ROWS_CONF)) <= BATCH_ROWS:
         conf.set(_ROWS_CONF, str(BATCH_ROWS))

@@ -11,9 +11,10 @@ rows. The top rows are then selected from the most significant slice downward: a
 slice splits the rows still tied with the boundary into those surely in and those
 behind. Rows that end tied are taken by id. Scores are exact integers.
 
-Queries are dealt into blocks too, and every query block meets every index block
-by an equality join on the query block; each index block gives k rows a query,
-and the best k of those are kept.
+Queries are dealt into blocks too. Every block is written once, as a file in the
+shared folder, and only file names move: a task takes one block of queries and a
+group of index blocks, opens those one after another, and keeps the best k rows of
+each query; of what the groups give the best k are kept again.
 
 Rows with a null id, a null vector, or a vector with null or non-finite
 components take no part. A query never finds rows of its own id. Vectors of
@@ -25,6 +26,7 @@ fits. An empty table gives an empty table.
 from __future__ import annotations
 
 import pickle
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -32,7 +34,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-K, SCALE, BLOCK_ROWS, BLOCK_QUERIES = 20, 64, 32_768, 512
+from lattica.llm.common import new_path, open_file, staged
+
+K, SCALE, BLOCK_ROWS, BLOCK_QUERIES, GROUP = 20, 64, 32_768, 512, 16
 
 
 def quantised(vectors: list[np.ndarray], scale: int) -> np.ndarray:
@@ -53,9 +57,11 @@ class SlicedBlock:
     def __init__(self, ids: np.ndarray, values: np.ndarray) -> None:
         order = np.argsort(ids, kind="stable")
         self.ids, self.values = ids[order], values[order]
+        if values.dtype != object:
+            self.values = self.values.astype(np.min_scalar_type(-1 - int(np.abs(values).max(initial=0))))
         n, dims = values.shape
         self.low = values.min() if values.size else 0
-        shifted = self.values - self.low
+        shifted = values[order] - self.low
         self.bits = int(shifted.max()).bit_length() if shifted.size else 0
         words = -(-n // 64)
         self.live = self._bitmap(np.ones(n, dtype=bool), words)
@@ -127,7 +133,7 @@ class SlicedBlock:
         if self.values.dtype == object or max(map(abs, query), default=0) >= 2**24:
             scores = [sum(int(a) * b for a, b in zip(self.values[i, :dims], query)) for i in at]
         else:
-            scores = (self.values[at, :dims] @ np.array(query[:dims], dtype=np.int64)).tolist()
+            scores = (self.values[at, :dims].astype(np.int64) @ np.array(query[:dims], dtype=np.int64)).tolist()
         return self.ids[at], scores
 
     def _positions(self, bitmap: np.ndarray) -> np.ndarray:
@@ -139,31 +145,49 @@ def top_k(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col:
     base = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | x.isin(float("inf"), float("-inf")))
     base = base.where(F.col("id").isNotNull() & F.col("v").isNotNull() & ~bad)
+    folder = new_path(rows.sparkSession, "topk")
     n, n_queries = base.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("q").cast("long")), F.lit(0))).first()
     row_blocks, query_blocks = max(1, -(-n // block_rows)), max(1, -(-n_queries // block_queries))
 
+    def kept(name: str, content: object) -> str:
+        path = f"{folder}/{name}-{uuid.uuid4().hex}"
+        with open_file(path, "w") as f:
+            f.write(pickle.dumps(content, protocol=5))
+        return path
+
+    def opened(path: str):  # noqa: ANN202
+        with open_file(path, "r") as f:
+            return pickle.loads(f.read())  # noqa: S301 - our own bytes
+
     def built(group: pd.DataFrame) -> pd.DataFrame:
         block = SlicedBlock(group["id"].to_numpy(), quantised(list(group["v"]), scale))
-        return pd.DataFrame({"b": [int(group["b"].iloc[0])], "sliced": [pickle.dumps(block, protocol=5)]})
+        return pd.DataFrame({"b": [int(group["b"].iloc[0])], "path": [kept("block", block)]})
 
     def gathered(group: pd.DataFrame) -> pd.DataFrame:
         # in a fixed order, so that its place numbers a query row, also one that repeats an id
-        rows = sorted(zip(group["id"].tolist(), quantised(list(group["v"]), scale).tolist()))
-        return pd.DataFrame({"qb": [int(group["qb"].iloc[0])], "queries": [pickle.dumps(rows, protocol=5)]})
+        own = sorted(zip(group["id"].tolist(), quantised(list(group["v"]), scale).tolist()))
+        return pd.DataFrame({"qb": [int(group["qb"].iloc[0])], "queries": [kept("queries", own)]})
 
     def met(pair: pd.DataFrame) -> pd.DataFrame:
-        block, out, qb = pickle.loads(pair["sliced"].iloc[0]), [], int(pair["qb"].iloc[0])  # noqa: S301 - our own bytes
-        for nth, (qid, q) in enumerate(pickle.loads(pair["queries"].iloc[0])):  # noqa: S301
-            ids, scores = block.top(q, qid, k)
-            clipped = [max(-(2**63), min(2**63 - 1, s)) for s in scores]
-            out.append(pd.DataFrame({"qb": qb, "nth": nth, "query_id": qid, "id": ids, "score": np.array(clipped, dtype=np.int64)}))
-        return pd.concat(out) if out else pd.DataFrame({"qb": [], "nth": [], "query_id": [], "id": [], "score": []}).astype("int64")
-
-    index = base.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(row_blocks))).groupBy("b").applyInPandas(built, "b long, sliced binary")
-    queries = base.where("q").withColumn("qb", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(query_blocks))).groupBy("qb").applyInPandas(gathered, "qb long, queries binary")
-    dealt = index.withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))))
-    pairs = dealt.join(queries, "qb").repartition(min(2_000, row_blocks * query_blocks), "qb", "b")
-    # a pair is a group of its own: a task holds one at a time, however many it has
-    best = pairs.groupBy("qb", "b").applyInPandas(met, "qb long, nth long, query_id long, id long, score long")
+        queries = opened(pair["queries"].iloc[0])
+        best: list[list[tuple[int, int]]] = [[] for _ in queries]  # of each query (-score, id)
+        for path in pair["paths"].iloc[0]:
+            block = opened(path)
+            for nth, (qid, q) in enumerate(queries):
+                ids, scores = block.top(q, qid, k)
+                best[nth] = sorted([*best[nth], *zip((-s for s in scores), ids.tolist())])[:k]
+        flat = [(nth, queries[nth][0], i, max(-(2**63), min(2**63 - 1, -s))) for nth, found in enumerate(best) for s, i in found]
+        out = pd.DataFrame(flat, columns=["nth", "query_id", "id", "score"], dtype="int64")
+        out.insert(0, "qb", int(pair["qb"].iloc[0]))
+        return out
+
+    row = F.monotonically_increasing_id()  # rows that repeat an id are dealt out as well
+    index = staged(base.withColumn("b", F.pmod(F.xxhash64("id", row), F.lit(row_blocks))).groupBy("b").applyInPandas(built, "b long, path string"), "topk-blocks")
+    queries = staged(base.where("q").withColumn("qb", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(query_blocks))).groupBy("qb").applyInPandas(gathered, "qb long, queries string"), "topk-queries")
+    # a stated set of queries against all rows, in blocks: a row of file names for each block of queries and group of index blocks
+    groups = index.groupBy(F.floor(F.col("b") / GROUP).alias("g")).agg(F.collect_list("path").alias("paths"))  # at most GROUP names
+    dealt = groups.withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))))
+    pairs = dealt.join(queries, "qb").repartition(min(2_000, max(1, -(-row_blocks // GROUP) * query_blocks)), "qb", "g")
+    best = pairs.groupBy("qb", "g").applyInPandas(met, "qb long, nth long, query_id long, id long, score long")
     rank = F.row_number().over(W.partitionBy("qb", "nth").orderBy(F.desc("score"), "id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")

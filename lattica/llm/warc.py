@@ -34,22 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import map_arrow, new_path, staged
+from lattica.llm.common import BROADCAST_ROWS, HOT_KEYS, join_hot, map_arrow, new_path, open_file, staged
 
 DATE, LEVEL, FILE_BYTES, _CHUNK = "2024-01-01T00:00:00Z", 6, 64 << 20, 1 << 20
 _BREAK = b"\r\n"
 
 
-def _open(path: str, mode: str):  # noqa: ANN202
-    from pyarrow import fs
-
-    system, name = fs.FileSystem.from_uri(path)
-    if mode == "w":
-        system.create_dir(name.rsplit("/", 1)[0], recursive=True)
-        return system.open_output_stream(name, compression=None)
-    return system.open_input_file(name) if mode == "seek" else system.open_input_stream(name, compression=None)
-
-
 def record_id(page_id: int | None) -> str:
     return f"<urn:page:{'null' if page_id is None else page_id}>"
 
@@ -96,15 +86,20 @@ def headers(stream: io.BufferedIOBase) -> tuple[bytes, dict[str, str]] | None:
 
 
 def _inflated(path: str) -> io.BufferedReader:
-    return io.BufferedReader(gzip.GzipFile(fileobj=_open(path, "r")), _CHUNK)
+    return io.BufferedReader(gzip.GzipFile(fileobj=open_file(path, "r")), _CHUNK)
 
 
-def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0, file_bytes: int = FILE_BYTES, level: int = LEVEL) -> DataFrame:
+def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0, file_bytes: int = FILE_BYTES, level: int = LEVEL, hot_keys: int = HOT_KEYS) -> DataFrame:
     """Writes monolithic archives to folder; (path, records) of each."""
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"), F.monotonically_increasing_id().alias("row"))
-    rows = rows.withColumns({"bytes": F.octet_length("html"), "sha1": F.sha1(F.encode("html", "UTF-8"))})
-    first = rows.groupBy("sha1", "bytes").agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("first"), F.col("row").alias("first_row"))).alias("f"))
-    joined = rows.join(first, ["sha1", "bytes"]).select("id", "url", "html", "sha1", F.col("f.first").alias("refers_to"), ((F.col("row") != F.col("f.first_row")) & (F.col("bytes") >= min_bytes)).alias("revisit"))
+    # written once with their numbers; then only numbers and digests move, and pages stay where they are
+    rows = staged(rows.withColumns({"bytes": F.octet_length("html"), "sha1": F.sha1(F.encode("html", "UTF-8"))}), "pages", compression="zstd")
+    narrow = rows.select("row", "id", "bytes", F.concat_ws(":", "sha1", F.col("bytes").cast("string")).alias("payload"))
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("first"), F.col("row").alias("first_row")))
+    shared = staged(narrow.groupBy("payload").agg(least.alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("payload", "f.first", "f.first_row", "n"), "payloads")
+    again = join_hot(narrow.drop("id"), shared, "payload", "n", hot_keys).where((F.col("row") != F.col("first_row")) & (F.col("bytes") >= min_bytes))
+    again = staged(again.select("row", F.col("first").alias("refers_to"), F.lit(True).alias("revisit")), "revisits")
+    joined = rows.join(F.broadcast(again) if again.count() <= BROADCAST_ROWS else again, "row", "left").select("id", "url", "html", "sha1", "refers_to", F.coalesce("revisit", F.lit(False)).alias("revisit"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[tuple[str, int]] = []
@@ -114,7 +109,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
             for r in batch.to_pylist():
                 if out is None:
                     path = f"{folder}/monolithic-{uuid.uuid4().hex}.warc.gz"
-                    out, packer, size, n = _open(path, "w"), zlib.compressobj(level, zlib.DEFLATED, 31), 0, 0
+                    out, packer, size, n = open_file(path, "w"), zlib.compressobj(level, zlib.DEFLATED, 31), 0, 0
                 data = record(r["id"], r["url"], r["html"].encode("utf-8", "surrogatepass"), base64.b32encode(bytes.fromhex(r["sha1"])).decode(), r["refers_to"], r["revisit"])
                 out.write(packer.compress(data))
                 size, n = size + len(data), n + 1
@@ -134,7 +129,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
 
 def normalise_file(path: str, target: str, level: int = LEVEL) -> int:
     """Rewrites one archive with a gzip member for each record, and target + '.idx'; the number of records."""
-    source, out, index, n = _inflated(path), _open(target, "w"), _open(f"{target}.idx", "w"), 0
+    source, out, index, n = _inflated(path), open_file(target, "w"), open_file(f"{target}.idx", "w"), 0
     offset = 0
     while (head := headers(source)) is not None:
         raw, fields = head
@@ -201,7 +196,7 @@ def read(files: DataFrame, with_payload: bool = False) -> DataFrame:
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 rows, size = [], 0
-                with _open(path, "seek") as stream, io.BufferedReader(_open(f"{path}.idx", "r")) as index:
+                with open_file(path, "seek") as stream, io.BufferedReader(open_file(f"{path}.idx", "r")) as index:
                     for line in index:
                         at = json.loads(line)
                         rows.append(parsed(*read_at(stream, at["offset"], at["length"])))
