@@ -5,7 +5,9 @@ text's word shingles. It is cut into segments. Two fingerprints are compared ove
 all bits if some segment differs by at most one bit: with one bit of it wiped out
 (a deletion variant) it is then equal, so every distinct fingerprint is indexed
 under each variant of each segment, and those that share a variant meet in a
-bucket. Only edges that join what isn't joined yet leave a bucket (at most one less
+bucket. To move less, a row goes out for each quarter of a segment, with that
+quarter wiped out, and the variants of the quarter's bits are made where the rows
+arrive. Only edges that join what isn't joined yet leave a bucket (at most one less
 than its members), so groups of near copies don't become pairs; components are
 then found by star contractions.
 
@@ -46,7 +48,7 @@ from lattica.llm.common import HOT_KEYS, join_hot, map_arrow, map_batches, only,
 from lattica.llm.graph import components
 
 SHINGLE, SEED, MAX_BITS, MAX_BUCKET = 4, 42, 4, 16_384
-NEAR_SHINGLE, SIMILARITY, WIDE_SEGMENTS, WIDE_MAX, MAX_SHINGLES = 5, 0.8, 8, 28, 400_000
+NEAR_SHINGLE, SIMILARITY, WIDE_SEGMENTS, WIDE_MAX, MAX_SHINGLES = 5, 0.8, 8, 28, 1_000_000
 
 
 def _shingles(text: str, shingle: int) -> tuple[bytes, Iterator[tuple[int, int]], int]:
@@ -122,14 +124,21 @@ def cut(bits: int, m: int) -> list[tuple[int, int]]:
     return list(zip(at, at[1:]))
 
 
+QUARTERS = 4
+
+
+def quarters(ranges: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
+    """(lo, hi, from, to): each bit range with each of its quarters."""
+    return [(lo, hi, lo + a, lo + b) for lo, hi in ranges for a, b in cut(hi - lo, QUARTERS)]
+
+
 def variants(members: DataFrame, ranges: list[tuple[int, int]], halves: tuple[str, ...] = ("fp",)) -> DataFrame:
-    """(bit, rest, then members' columns): each fingerprint under the segments that have one bit wiped out; halves: its columns of 64 bits, of which no range crosses an end."""
+    """(wild, rest, then members' columns): each fingerprint under the segments that have a quarter wiped out; halves: its columns of 64 bits, of which no range crosses an end."""
     keys = []
-    for lo, hi in ranges:
-        width = (1 << (hi - lo)) - 1
-        part = F.shiftrightunsigned(halves[lo // 64], lo % 64).bitwiseAND(F.lit(width))
-        keys += [F.struct(F.lit(lo + j).cast("byte").alias("bit"), part.bitwiseAND(F.lit(width & ~(1 << j))).alias("rest")) for j in range(hi - lo)]
-    return members.select(*members.columns, F.explode(F.array(*keys)).alias("key")).select("key.bit", "key.rest", *members.columns)
+    for wild, (lo, hi, a, b) in enumerate(quarters(ranges)):
+        part = F.shiftrightunsigned(halves[lo // 64], lo % 64).bitwiseAND(F.lit((1 << (hi - lo)) - 1 & ~(((1 << (b - a)) - 1) << (a - lo))))
+        keys.append(F.struct(F.lit(wild).cast("byte").alias("wild"), part.alias("rest")))
+    return members.select(*members.columns, F.explode(F.array(*keys)).alias("key")).select("key.wild", "key.rest", *members.columns)
 
 
 def spanning(members: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,61 +180,96 @@ def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 16_384) -> Iterator
         yield pa.Table.from_batches(held)
 
 
-def _bucket_edges(rows: DataFrame, max_bits: int, max_bucket: int) -> DataFrame:
-    """From rows (bit, rest, members' columns): edges, or the rows of a bucket of over max_bucket."""
+def _linked_in_buckets(key: np.ndarray, members: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that span the links within each run of equal keys.
+
+    Neighbours at each distance are compared at once; only buckets with several links
+    (or of over _WIDE_RUN members) are gone through one by one.
+    """
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    sizes = np.diff(np.r_[starts, len(key)])
+    bucket, size = np.repeat(np.arange(len(starts)), sizes), np.repeat(sizes, sizes)
+    place = np.arange(len(key)) - np.repeat(starts, sizes)
+    found, i = [], np.flatnonzero((size > 1) & (size <= _WIDE_RUN))
+    for d in range(1, int(sizes[sizes <= _WIDE_RUN].max(initial=1))):
+        i = i[place[i] + d < size[i]]
+        near = i[_distance(members[i], members[i + d]) <= max_bits]
+        found.append(np.stack([near, near + d]))
+    pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+    links = np.bincount(bucket[pairs[0]], minlength=len(starts))
+    single = pairs[:, links[bucket[pairs[0]]] == 1]
+    u, v = [members[single[0], 0]], [members[single[1], 0]]
+    for at in np.flatnonzero((links > 1) | (sizes > _WIDE_RUN)).tolist():
+        a, b = spanning(members[starts[at] : starts[at] + sizes[at]], max_bits)
+        u.append(a)
+        v.append(b)
+    return np.concatenate(u), np.concatenate(v)
+
+
+_WIDE_RUN = 1_024
+
+
+def _bucket_edges(rows: DataFrame, ranges: list[tuple[int, int]], halves: int, max_bits: int, max_bucket: int) -> DataFrame:
+    """From rows (wild, rest, members' columns): edges (bit -1), or the buckets (bit, rest, u) of groups of over max_bucket."""
     names = ("bit", "rest", "u", "v")
     columns = rows.columns[2:]
-
-    def out(key: int, u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
-        bit, rest = np.full(len(u), key >> 56, np.int8), np.full(len(u), key & ((1 << 56) - 1) if key >= 0 else -1)
-        return pa.RecordBatch.from_arrays([pa.array(bit), pa.array(rest, pa.int64()), pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=names)
-
-    def edges(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
-        return out(-1, u, v)
-
-    def large(key: int, members: np.ndarray) -> pa.RecordBatch:
-        return out(key, members[:, 0], members[:, 0])
-
-    def whole(key: np.ndarray, members: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Complete buckets: pairs by themselves, larger ones by spanning()."""
-        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        sizes = np.diff(np.r_[starts, len(key)])
-        i = starts[sizes == 2]
-        i = i[_distance(members[i], members[i + 1]) <= max_bits] if len(i) else i
-        if len(i):
-            yield edges(members[i, 0], members[i + 1, 0])
-        found = [spanning(members[a : a + n], max_bits) for a, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist())]
-        if found:
-            yield edges(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+    lo, _, first, last = (np.array(x, dtype=np.int64) for x in zip(*quarters(ranges)))
+    width = int((last - first).max())
+
+    def out(bit: np.ndarray, rest: np.ndarray, u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(bit, pa.int16()), pa.array(rest, pa.int64()), pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=names)
+
+    def fine(key: np.ndarray, members: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each bit of the quarters: it, and of the rows that have it their place, bit and segment without it."""
+        wild = key >> 56
+        half = members[:, members.shape[1] - halves :][np.arange(len(key)), lo[wild] // 64].view(np.uint64)
+        value = ((half >> (first[wild] % 64).astype(np.uint64)) & np.uint64((1 << width) - 1)).astype(np.int64) & ((1 << (last - first)) - 1)[wild]
+        for j in range(width):
+            has = np.flatnonzero(first[wild] + j < last[wild])
+            rest = (key[has] & ((1 << 56) - 1)) | ((value[has] & ~(1 << j)) << (first - lo)[wild[has]])
+            yield j, has, (first[wild] + j)[has], rest
+
+    def edges(key: np.ndarray, members: np.ndarray) -> pa.RecordBatch:
+        at = np.cumsum(np.r_[0, key[1:] != key[:-1]])
+        parts = [(at[has] * width + j, bit, rest, has) for j, has, bit, rest in fine(key, members)]
+        group, bit, rest, has = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((rest, group))
+        group, rest, has = group[order], rest[order], has[order]
+        u, v = _linked_in_buckets(np.cumsum(np.r_[0, (group[1:] != group[:-1]) | (rest[1:] != rest[:-1])]), members[has], max_bits)
+        none = np.full(len(u), -1)
+        return out(none, none, u, v)
+
+    def large(key: int, members: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for _, has, bit, rest in fine(np.full(len(members), key), members):
+            yield out(bit, rest, members[has, 0], members[has, 0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held, over = np.empty(0, np.int64), np.empty((0, len(columns)), np.int64), None
         for b in _gathered(batches):
-            key = (b.column("bit").to_numpy().astype(np.int64) << 56) | b.column("rest").to_numpy()
-            key = np.r_[held_key, key]
+            key = np.r_[held_key, (b.column("wild").to_numpy().astype(np.int64) << 56) | b.column("rest").to_numpy()]
             members = np.concatenate([held, np.stack([b.column(c).to_numpy() for c in columns], axis=1)])
             if not len(key):
                 continue
-            last = int(np.searchsorted(key, key[-1], side="left"))
-            if over is not None and last:  # the large bucket ends within these rows
+            end = int(np.searchsorted(key, key[-1], side="left"))
+            if over is not None and end:  # the large group ends within these rows
                 done = int(np.searchsorted(key, over, side="right"))
                 if done:
-                    yield large(over, members[:done])
-                key, members, last, over = key[done:], members[done:], last - done, None
-            if last > 0:
-                yield from whole(key[:last], members[:last])
-            held_key, held = key[max(last, 0) :], members[max(last, 0) :]
+                    yield from large(over, members[:done])
+                key, members, end, over = key[done:], members[done:], end - done, None
+            if end > 0:
+                yield edges(key[:end], members[:end])
+            held_key, held = key[max(end, 0) :], members[max(end, 0) :]
             if len(held_key) and (over is not None or len(held_key) > max_bucket):
                 over = int(held_key[0])
-                yield large(over, held)
+                yield from large(over, held)
                 held_key, held = held_key[:0], held[:0]
         if len(held_key):
             if over is not None and int(held_key[0]) == over:
-                yield large(over, held)
+                yield from large(over, held)
             else:
-                yield from whole(held_key, held)
+                yield edges(held_key, held)
 
-    return rows.repartition("bit", "rest").sortWithinPartitions("bit", "rest").mapInArrow(run, "bit byte, rest long, u long, v long")
+    return rows.repartition("wild", "rest").sortWithinPartitions("wild", "rest").mapInArrow(run, "bit short, rest long, u long, v long")
 
 
 def _large_bucket_edges(rows: DataFrame, max_bits: int, max_bucket: int) -> DataFrame:
@@ -246,7 +290,7 @@ def _large_bucket_edges(rows: DataFrame, max_bits: int, max_bucket: int) -> Data
 
 def _links(members: DataFrame, ranges: list[tuple[int, int]], halves: tuple[str, ...], max_bits: int, max_bucket: int) -> DataFrame:
     """(u, v): edges among members (node, then the halves of its fingerprint; or one column that is both) that span those who meet in a bucket."""
-    found = staged(_bucket_edges(variants(members, ranges, halves), max_bits, max_bucket), "buckets")
+    found = staged(_bucket_edges(variants(members, ranges, halves), ranges, len(halves), max_bits, max_bucket), "buckets")
     node = members.columns[0]
     over = found.where(F.col("rest") >= 0).select("bit", "rest", F.col("u").alias(node))
     if len(members.columns) > 1:
@@ -271,60 +315,95 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return join_hot(own, known, "fp", "n", hot_keys).select(id_col, "text_hash", "fp", "component_id")
 
 
-def similar(sets: list[np.ndarray], similarity: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the ends of the edges of a spanning forest of all pairs of sets with that Jaccard similarity.
+def similar(sets: list[np.ndarray], similarity: float = SIMILARITY, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the ends of edges that span all pairs of sets with that Jaccard similarity.
 
     From a set, those not reached yet are found by the postings of its own elements.
+    With a side (0 or 1) for each set, only edges between sides that join what the
+    links within either side don't: those are found elsewhere.
     """
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    if len(sets) == 2:
-        both = len(np.intersect1d(*sets, assume_unique=True))
-        hit = both >= similarity * (sizes.sum() - both) - 1e-9
-        return np.zeros(int(hit), np.int64), np.ones(int(hit), np.int64)
     _, code = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(code, kind="stable")
     posted, first = owner[order], np.r_[0, np.cumsum(np.bincount(code))]
     codes = np.split(code, np.cumsum(sizes)[:-1])
-    left, u, v = np.ones(len(sets), dtype=bool), [], []
-    for root in range(len(sets)):
-        frontier = [root] if left[root] else []
-        left[root] = False
-        while frontier and left.any():
-            x = frontier.pop()
-            owners = np.concatenate([posted[first[c] : first[c + 1]] for c in codes[x].tolist()] or [posted[:0]])
-            both = np.bincount(owners, minlength=len(sets))
-            found = np.flatnonzero(left & (both > 0) & (both >= similarity * (sizes[x] + sizes - both) - 1e-9))
-            left[found] = False
-            u.append(np.full(len(found), x))
-            v.append(found)
-            frontier.extend(found.tolist())
+
+    def near(x: int, among: np.ndarray) -> np.ndarray:
+        owners = np.concatenate([posted[first[c] : first[c + 1]] for c in codes[x].tolist()] or [posted[:0]])
+        both = np.bincount(owners, minlength=len(sets))
+        return np.flatnonzero(among & (both > 0) & (both >= similarity * (sizes[x] + sizes - both) - 1e-9))
+
+    def spanned(left: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        u, v, group = [], [], np.arange(len(sets))
+        for root in np.flatnonzero(left).tolist():
+            frontier = [root] if left[root] else []
+            left[root] = False
+            while frontier and left.any():
+                x = frontier.pop()
+                found = near(x, left)
+                left[found] = False
+                group[found] = root
+                u.append(np.full(len(found), x))
+                v.append(found)
+                frontier.extend(found.tolist())
+        return u, v, group
+
     none = np.empty(0, np.int64)
-    return np.concatenate([none, *u]), np.concatenate([none, *v])
+    if side is None:
+        u, v, _ = spanned(np.ones(len(sets), dtype=bool))
+        return np.concatenate([none, *u]), np.concatenate([none, *v])
+    group = np.where(side == 0, spanned(side == 0)[2], spanned(side == 1)[2])
+    other, u, v = side == 1, [], []
+    for x in np.flatnonzero(side == 0).tolist():
+        apart = other & (group != group[x])
+        if not apart.any():
+            continue
+        for y in near(x, apart).tolist():
+            if group[y] != group[x]:
+                u.append(x)
+                v.append(y)
+                group[group == group[y]] = group[x]
+    return np.array(u, dtype=np.int64), np.array(v, dtype=np.int64)
+
+
+def _pair_similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= similarity * (len(a) + len(b) - both) - 1e-9
 
 
 def verified(members: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(u, v): edges of the pairs of nodes of one group that are similar, from rows (root, i, j, node, shingles) of groups that fit a task."""
+    """(u, v): edges of the pairs of nodes of one group that are similar, from rows (root, i, j, own, node, shingles), own being a node's part i or j, of groups that fit a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, np.ndarray]] = []
-        at = None
+        held: list[tuple[int, int, np.ndarray]] = []
+        at: tuple[int, int, int] | None = None
+        us: list[int] = []
+        vs: list[int] = []
 
-        def done() -> Iterator[pa.RecordBatch]:
+        def done() -> None:
             if len(held) > 1:
-                nodes = np.array([n for n, _ in held], dtype=np.int64)
-                u, v = similar([s for _, s in held], similarity)
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[u]), pa.array(nodes[v])], names=["u", "v"])
+                nodes, sets = [n for n, _, _ in held], [s for _, _, s in held]
+                if len(held) == 2:
+                    u, v = ([0], [1]) if _pair_similar(*sets, similarity) else ([], [])
+                else:
+                    u, v = similar(sets, similarity, np.array([int(own != at[1]) for _, own, _ in held]) if at[1] != at[2] else None)
+                us.extend(nodes[k] for k in u)
+                vs.extend(nodes[k] for k in v)
             held.clear()
 
         for batch in batches:
             keys = zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j")))
-            for key, node, s in zip(keys, batch.column("node").to_pylist(), batch.column("shingles")):
+            for key, node, own, s in zip(keys, batch.column("node").to_pylist(), batch.column("own").to_pylist(), batch.column("shingles")):
                 if key != at:
-                    yield from done()
+                    done()
                     at = key
-                held.append((node, np.frombuffer(s.as_buffer(), dtype=np.uint64).copy()))
-        yield from done()
+                held.append((node, own, np.frombuffer(s.as_buffer(), dtype=np.uint64).copy()))
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+            us.clear()
+            vs.clear()
+        done()
+        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
     return map_arrow(members.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j"), run, "u long, v long")
 
@@ -360,7 +439,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     chosen = only(texts, staged(dealt.select(F.col("node").alias("row"), "root", "parts", "own"), "dealt"), "row").withColumnRenamed("row", "node")
     sets = map_batches(chosen.select("root", "node", "parts", "own", "text"), shingled, "root long, node long, parts int, own int, shingles binary")
     other = F.explode(F.when(F.col("parts") > 2, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.lit(0))))
-    pairs = sets.withColumn("other", other).select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "shingles")
+    pairs = sets.withColumn("other", other).select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "shingles")
     roots = staged(components(verified(pairs, similarity)).join(nodes, "node").select("root", "node", "best"), "groups")
     winners = staged(roots.groupBy("root").agg(F.min("best").alias("first"), F.count(F.lit(1)).alias("size")), "winners")
     losers = join_hot(roots, winners, "root", "size", hot_keys).where("best.row <> first.row").select("node")
