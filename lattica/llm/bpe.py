@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lattica.llm.common import map_batches, texts_of
+from lattica.llm.common import map_batches, staged, texts_of
 
 CHUNK_CHARS, OVERLAP = 32_768, 1_024
 
@@ -103,7 +103,8 @@ def encode(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", te
     short = map_batches(docs.where(~is_long), encode_texts, f"id {id_type}, ids array<int>")
 
     windows = map_batches(docs.where(is_long).withColumn("rid", F.monotonically_increasing_id()), cut, f"id {id_type}, rid long, k int, window string, last boolean")
-    scanned = map_batches(windows.repartition("rid", "k"), scan, f"id {id_type}, rid long, k int, window string, left array<int>, right array<int>")
+    # written once, as both those that are stitched and those that are lost come from it
+    scanned = staged(map_batches(windows.repartition("rid", "k"), scan, f"id {id_type}, rid long, k int, window string, left array<int>, right array<int>"), "windows")
     order, whole = W.partitionBy("rid").orderBy("k"), W.partitionBy("rid")
     stitched = (
         scanned.withColumn("start", F.when(F.col("k") == 0, F.lit(0)).otherwise(F.array_min(F.array_intersect("left", F.lag("right").over(order)))))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lattica.llm import quality_rules as rules
+from lattica.llm import secrets
 
 OP2 = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings
@@ -41,3 +42,36 @@ WITH t AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS.format("coalesce(t
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND remains > 0 AND remains >= 0.5 * word_chars AS kept FROM b
 """
+
+
+def _re2(pattern: str) -> str:
+    """A pattern in the dialect of DuckDB: ASCII word boundaries for the look-arounds."""
+    return pattern.replace("(?<![A-Za-z0-9_])", r"\b").replace("(?![A-Za-z0-9_])", r"\b").replace("'", "''")
+
+
+def _matches(kind: str, pattern: str, ok: str, group: int = 0) -> str:
+    p = f"'{pattern}'"
+    return f"""SELECT row, '{kind}' AS kind, {secrets.KINDS.index(kind)} AS rank, (list_sum(gaps[1:i]) + list_sum(lens[1:i]) - lens[i])::BIGINT AS start, (list_sum(gaps[1:i]) + list_sum(lens[1:i]))::BIGINT AS stop FROM (
+    SELECT *, unnest(range(1, len(lens) + 1)) AS i FROM (SELECT row, list_transform(regexp_extract_all(text, {p}), lambda x: length(x)) AS lens, list_transform(regexp_split_to_array(text, {p}), lambda x: length(x)) AS gaps,
+      list_transform(regexp_extract_all(text, {p}, {group}), lambda x: {ok}) AS oks FROM t WHERE regexp_matches(text, {p}))) WHERE oks[i]"""
+
+
+_HIT = "b.row = a.row AND b.start < a.stop AND a.start < b.stop"
+_NEAR = f"i.row = p.row AND p.start BETWEEN i.start - {secrets.SCOPE} AND i.stop + {secrets.SCOPE}"
+
+OP8 = f"""
+WITH t AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+  base AS ({_matches("assign", _re2(secrets.ASSIGN), f"length(x) >= {secrets.MIN_VALUE}", 2)} UNION ALL {_matches("access", secrets.ACCESS, f"length(x) >= {secrets.MIN_ACCESS}")} UNION ALL {_matches("hex", "[0-9a-f]+", "length(x) >= 32")}),
+  named AS ({_matches("ident", _re2(secrets.IDENT), "true")}), place AS ({_matches("endpoint", _re2(secrets.ENDPOINT), "true")}),
+  long AS ({_matches("weak", "[A-Za-z0-9+/_=-]+", "length(x) >= 20 AND regexp_matches(x, '[0-9]') AND regexp_matches(x, '[A-Za-z]')")}),
+  ident AS (SELECT * FROM named a WHERE NOT EXISTS (SELECT 1 FROM base b WHERE {_HIT})),
+  weak AS (SELECT * FROM long a WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM base UNION ALL SELECT * FROM named UNION ALL SELECT * FROM place) b WHERE {_HIT})),
+  endpoint AS (SELECT * FROM place a WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM base UNION ALL SELECT * FROM named) b WHERE {_HIT})),
+  keys AS (SELECT * FROM base WHERE kind <> 'access' UNION ALL SELECT * FROM weak),
+  paired AS (SELECT * FROM keys i WHERE EXISTS (SELECT 1 FROM (SELECT * FROM ident UNION ALL SELECT * FROM base WHERE kind = 'access') p WHERE {_NEAR})),
+  spans AS (SELECT * FROM base UNION ALL SELECT * FROM paired WHERE kind = 'weak' UNION ALL SELECT * FROM ident p WHERE EXISTS (SELECT 1 FROM keys i WHERE {_NEAR}) UNION ALL SELECT * FROM endpoint p WHERE EXISTS (SELECT 1 FROM paired i WHERE {_NEAR})),
+  s AS (SELECT *, kind || ':' || start || ':' || stop AS span FROM spans)
+SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (rank < {len(secrets.BASE)}), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY start, rank), '') AS spans
+FROM t LEFT JOIN s USING (row) GROUP BY t.row, doc_id
+"""

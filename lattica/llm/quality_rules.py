@@ -20,10 +20,15 @@ from pyspark.sql import functions as F
 WINDOW, MIN_WORDS, MAX_REPEATED, MAX_LOSS = 8, 20, 30, 0.5
 SPACE = " \t\n\x0b\x0c\r"
 
-# Symbols that count, separators of menus, phrases of boilerplate.
+# Symbols that count, separators of menus, phrases of boilerplate in English, German, French and Spanish.
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = "|»›•·"
-PHRASES = ("all rights reserved", "licensed under", "terms of use", "terms of service", "privacy policy", "cookie policy", "accept cookies", "uses cookies", "subscribe to our", "sign up for our", "click here", "skip to content", "back to top", "enable javascript", "powered by", "copyright ©", "lorem ipsum")
+PHRASES = (
+    *("all rights reserved", "licensed under", "terms of use", "terms of service", "privacy policy", "cookie policy", "accept cookies", "uses cookies", "subscribe to our", "sign up for our", "click here", "skip to content", "back to top", "enable javascript", "powered by", "copyright ©", "lorem ipsum"),
+    *("alle rechte vorbehalten", "nutzungsbedingungen", "datenschutzerklärung", "cookies akzeptieren", "hier klicken", "zum seitenanfang", "javascript aktivieren"),
+    *("tous droits réservés", "mentions légales", "politique de confidentialité", "accepter les cookies", "cliquez ici", "retour en haut", "activer javascript"),
+    *("todos los derechos reservados", "términos de uso", "política de privacidad", "aceptar cookies", "haga clic aquí", "volver arriba", "activar javascript"),
+)
 
 
 BLANK = r"[\x20\x09-\x0D]+"

@@ -92,4 +92,4 @@ QUERIES: dict[str, Query] = {
     "op10_lm_scoring": op10_lm_scoring,
 }
 
-ORACLES: dict[str, str] = {"op2_exact_top_k": oracles.OP2, "op4_warc_round_trip": oracles.OP4, "op9_quality_rules": oracles.OP9}
+ORACLES: dict[str, str] = {"op2_exact_top_k": oracles.OP2, "op4_warc_round_trip": oracles.OP4, "op8_secret_scan": oracles.OP8, "op9_quality_rules": oracles.OP9}

@@ -32,9 +32,10 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}+"
 MIN_VALUE, MIN_ACCESS = 8, 16
 
-IDENT = r"(?i)\b(?:user(?:_?name)?|login|account(?:_?id)?|client_?id|access_?(?:key_?)?id|key_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.@-]{3,}"
+_EDGE = "(?<![A-Za-z0-9_])"  # what \b says before a word, in ASCII
+IDENT = _EDGE + r"(?i)(?:user(?:_?name)?|login|account(?:_?id)?|client_?id|access_?(?:key_?)?id|key_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.@-]{3,}"
 WEAK = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{20,}+"
-ENDPOINT = r"(?i)\b(?:https?|ftps?|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\x20\x09-\x0D\"'<>]+|\b(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]+(?::[0-9]{2,5})?|(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}:[0-9]{2,5}(?![0-9])"
+ENDPOINT = _EDGE + r"(?i)(?:(?:https?|ftps?|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\x20\x09-\x0D\"'<>]+|(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]+(?::[0-9]{2,5})?|[0-9]{1,3}(?:\.[0-9]{1,3}){3}:[0-9]{2,5}(?![A-Za-z0-9_]))"
 
 KINDS = ("assign", "access", "hex", "ident", "weak", "endpoint")
 BASE = KINDS[:3]

@@ -72,3 +72,10 @@ def test_good_documents_stay_and_junk_goes(spark):
 
 def test_empty_table(spark):
     assert rules.judged(docs(spark, [])).collect() == [] == rules.filtered(docs(spark, [])).collect()
+
+
+@pytest.mark.parametrize("line", ["© 2020 Muster GmbH. Alle Rechte vorbehalten.", "Politique de confidentialité et mentions légales.", "Todos los derechos reservados, 2021.", "All rights reserved, 2019."])
+def test_boilerplate_lines_of_four_languages_go(spark, line):
+    text = "A first sentence that stays as it is, with words enough to count.\n" + line + "\nAnd a second one that stays too, being as plain as the first."
+    (r,) = rules.filtered(docs(spark, [(1, text)])).collect()
+    assert line not in r.text and r.text.count("stays") == 2
