@@ -8,7 +8,7 @@ values: at most `capacity` of them however large the corpus. Bulk-synchronous
 rounds then go down the runs. In a round each pending run looks for its
 successor, the smallest gap that holds it; members that want the same gaps are
 matched by rank; the matched bins become smaller gaps; what finds no gap opens
-bins. The rounds yield intervals (length, ranks) -> (sequences, offset), by which
+bins. The result is that of best fit with the longest piece first. The rounds yield intervals (length, ranks) -> (sequences, offset), by which
 every piece finds its place in one distributed pass. Only the run lengths and
 those intervals, both bounded by the capacity and not by the corpus, are on the
 driver.
@@ -67,38 +67,46 @@ def token_pieces(docs: DataFrame, vocab: str, pattern: str, end_id: int, capacit
     return map_batches(docs, pieces, f"id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids).withColumnRenamed("id", id_col)
 
 
-def best_fit_rounds(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
-    """Matches of runs of pieces to runs of gaps, and the number of bins.
+def best_fit_rounds(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int, int]], int]:
+    """Matches of runs of pieces to runs of gaps, and the number of bins: that of best fit, one piece at a time, longest first.
 
-    counts: pieces of each length. A match (length, rank, n, bin, offset) puts
-    the n pieces from `rank` on, one each, into the bins from `bin` on.
+    counts: pieces of each length. A match (length, rank, n, bin, offset, each) puts
+    the n pieces from `rank` on into the bins from `bin` on, `each` after another in
+    every bin, the last of which may get fewer. What is left of a piece's gap is the
+    smallest that holds the next of its length, as long as it holds one.
     """
     gaps: dict[int, list[tuple[int, int]]] = {}  # free tokens -> runs (first bin, number)
     free = 0  # bit g: there are bins with g free tokens
     matches, bins = [], 0
+
+    def keep(gap: int, first: int, n: int) -> None:
+        nonlocal free
+        if gap and n:
+            gaps.setdefault(gap, []).append((first, n))
+            free |= 1 << gap
+
     for size in sorted((s for s, n in counts.items() if n > 0), reverse=True):
         rank, pending = 0, counts[size]
         while pending:
             above = free >> size
             if above:
                 gap = size + (above & -above).bit_length() - 1
-                runs = gaps[gap]
             else:
-                opened = -(-pending // (capacity // size))
-                gap, runs = capacity, [(bins, opened)]
+                gap, opened = capacity, -(-pending // (capacity // size))
+                keep(gap, bins, opened)
                 bins += opened
-                gaps[gap] = runs
-                free |= 1 << gap
-            left = gap - size
+            each, runs = gap // size, gaps[gap]
             while runs and pending:
                 first, n = runs.pop()
-                take = min(n, pending)
-                matches.append((size, rank, take, first, capacity - gap))
-                if take < n:
-                    runs.append((first + take, n - take))
-                if left:
-                    gaps.setdefault(left, []).append((first, take))
-                    free |= 1 << left
+                take = min(n * each, pending)
+                whole, part = divmod(take, each)
+                matches.append((size, rank, take, first, capacity - gap, each))
+                keep(gap - each * size, first, whole)
+                if part:
+                    keep(gap - part * size, first + whole, 1)
+                used = whole + (part > 0)
+                if used < n:
+                    runs.append((first + used, n - used))
                 rank += take
                 pending -= take
             if not runs:
@@ -124,7 +132,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, order: Iterable[str] = ()
     matches, _ = best_fit_rounds(counts, capacity)
     by_at = sorted(zip(first_at, first_rank))
     at, rank0 = np.array([a for (a, _), _ in by_at], dtype=np.int64), np.array([r for _, r in by_at], dtype=np.int64)
-    m = np.array(sorted(matches), dtype=np.int64).reshape(-1, 5)
+    m = np.array(sorted(matches), dtype=np.int64).reshape(-1, 6)
     key = (m[:, 0] << _RANK_BITS) | m[:, 1]
     kept = [f for f in pieces.schema.fields]
 
@@ -133,7 +141,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, order: Iterable[str] = ()
         run = np.searchsorted(at, pos, side="right") - 1
         rank = rank0[run] + pos - at[run]
         hit = np.searchsorted(key, (length << _RANK_BITS) | rank, side="right") - 1
-        return {f.name: batch.column(f.name) for f in kept} | {"sequence_id": m[hit, 3] + rank - m[hit, 1], "offset": m[hit, 4]}
+        nth, each = rank - m[hit, 1], m[hit, 5]
+        return {f.name: batch.column(f.name) for f in kept} | {"sequence_id": m[hit, 3] + nth // each, "offset": m[hit, 4] + nth % each * length}
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     return map_batches(ranged, find, f"{ddl}, sequence_id long, offset long")

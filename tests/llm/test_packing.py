@@ -1,3 +1,4 @@
+import bisect
 import zlib
 from collections import Counter, defaultdict
 
@@ -16,7 +17,6 @@ ARGS = (P.path("byte_bpe_50k.tiktoken"), P.PATTERN, 2)
 
 def ids_of(text):
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return [*t.encode(text or "", add_special_tokens=False).ids, 2]
 
 
@@ -38,10 +38,10 @@ def valid(rows, capacity):
 def test_rounds_place_every_piece_once(counts):
     matches, bins = packing.best_fit_rounds(counts, 30)
     used, placed = Counter(), Counter()
-    for size, rank, n, first, offset in sorted(matches, key=lambda m: m[4]):
+    for size, rank, n, first, offset, each in sorted(matches, key=lambda m: m[4]):
         for i in range(n):
-            assert used[first + i] == offset
-            used[first + i] += size
+            assert used[first + i // each] == offset + i % each * size
+            used[first + i // each] += size
             placed[size, rank + i] += 1
     assert placed == Counter((s, r) for s, n in counts.items() for r in range(n))
     assert all(v <= 30 for v in used.values()) and len(used) == bins
@@ -49,6 +49,25 @@ def test_rounds_place_every_piece_once(counts):
     assert bins <= 11 / 9 * max(-(-total // 30), sum(n for s, n in counts.items() if s > 15)) * 1.25 + 2
 
 
+def best_fit(lengths, capacity):
+    """One piece at a time, longest first, each to the smallest gap that holds it."""
+    gaps, bins = [], 0
+    for size in sorted(lengths, reverse=True):
+        i = bisect.bisect_left(gaps, size)
+        gap = gaps.pop(i) if i < len(gaps) else capacity
+        bins += i == len(gaps) and gap == capacity
+        if gap > size:
+            bisect.insort(gaps, gap - size)
+    return bins
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sampled_from([7, 64, 1024]), st.lists(st.floats(0, 1), max_size=300))
+def test_as_many_bins_as_sequential_best_fit(capacity, shares):
+    lengths = [max(1, round(x**3 * capacity)) for x in shares]
+    assert packing.best_fit_rounds(dict(Counter(lengths)), capacity)[1] == best_fit(lengths, capacity)
+
+
 def test_pieces_and_places(spark):
     rows = packing.pack(docs(spark, length=9, piece="x", offset=1), *ARGS, capacity=64).collect()
     want = Counter()
