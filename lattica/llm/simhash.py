@@ -17,11 +17,11 @@ bit, so all links are found.
 
 `deduplicated` links texts whose sets of `shingle`-word shingles have a Jaccard
 similarity of at least `similarity`. Fingerprints of 64 bits are too coarse for
-that (at 0.8 about ten bits differ), so it takes 128 bits in eight segments, and up
-to WIDE_MAX differing bits. These links only gather candidates: the shingles of the
+that (at 0.8 about ten bits differ), so it takes 256 bits in sixteen segments; of the
+first 128, up to WIDE_MAX may differ. These links only gather candidates: the shingles of the
 texts of a component are then compared exactly, so no pair below the threshold
-becomes a link. A pair at the threshold is gathered with a probability of 0.9, at
-0.85 of 0.97, at 0.9 of 0.99 (README: measured); copies whose words are equal always.
+becomes a link. A pair at the threshold is gathered with a probability of 0.99 and
+more (README: measured); copies whose words are equal always.
 
 A bucket of more than `max_bucket` fingerprints is never held in one task, nor a
 component with more than `max_shingles` shingles: its members are dealt into parts,
@@ -48,7 +48,7 @@ from lattica.llm.common import HOT_KEYS, join_hot, map_arrow, map_batches, only,
 from lattica.llm.graph import components
 
 SHINGLE, SEED, MAX_BITS, MAX_BUCKET = 4, 42, 4, 16_384
-NEAR_SHINGLE, SIMILARITY, WIDE_SEGMENTS, WIDE_MAX, MAX_SHINGLES = 5, 0.8, 8, 28, 1_000_000
+NEAR_SHINGLE, SIMILARITY, WIDE_SEGMENTS, WIDE_MAX, MAX_SHINGLES = 5, 0.8, 16, 32, 1_000_000
 
 
 def _shingles(text: str, shingle: int) -> tuple[bytes, Iterator[tuple[int, int]], int]:
@@ -83,16 +83,20 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int(_majority(h.view(np.uint8).reshape(-1, 8)).view("<i8")[0])
 
 
-def wide_fingerprint(text: str, shingle: int = NEAR_SHINGLE) -> tuple[bytes, int, int, int]:
-    """A hash of the text's words, the two halves of its fingerprint of 128 bits over distinct shingles, and their number."""
+def wide_fingerprint(text: str, shingle: int = NEAR_SHINGLE) -> tuple[bytes, list[int], int]:
+    """A hash of the text's words, the four parts of its fingerprint of 256 bits over distinct shingles, and their number."""
     line, places, _ = _shingles(text, shingle)
     key = xxhash.xxh3_128_digest(line)
     if not line:
-        return key, 0, 0, 0
+        return key, [0] * 4, 0
     hashed = xxhash.xxh3_128_digest
     distinct = {hashed(line[a:b]) for a, b in places}
-    low, high = _majority(np.frombuffer(b"".join(distinct), dtype=np.uint8).reshape(-1, 16)).view("<i8").tolist()
-    return key, low, high, len(distinct)
+    h = np.frombuffer(b"".join(distinct), dtype="<u8").reshape(-1, 2)
+    # 128 bits more of each shingle: its hash, scattered by multiplication with odd numbers
+    more = (h ^ (h >> np.uint64(32))) * np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
+    more = (more ^ (more >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    bits = np.concatenate([h, more ^ (more >> np.uint64(32))], axis=1)
+    return key, _majority(bits.view(np.uint8)).view("<i8").tolist(), len(distinct)
 
 
 def shingle_set(text: str, shingle: int = NEAR_SHINGLE) -> np.ndarray:
@@ -132,13 +136,18 @@ def quarters(ranges: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
     return [(lo, hi, lo + a, lo + b) for lo, hi in ranges for a, b in cut(hi - lo, QUARTERS)]
 
 
-def variants(members: DataFrame, ranges: list[tuple[int, int]], halves: tuple[str, ...] = ("fp",)) -> DataFrame:
-    """(wild, rest, then members' columns): each fingerprint under the segments that have a quarter wiped out; halves: its columns of 64 bits, of which no range crosses an end."""
+def variants(members: DataFrame, ranges: list[tuple[int, int]], halves: tuple[str, ...] = ("fp",), carried: tuple[str, ...] = ("fp",)) -> DataFrame:
+    """(wild, rest, quarter, then the columns carried): each fingerprint under the segments that have a quarter wiped out.
+
+    halves: its columns of 64 bits, of which no range crosses an end; quarter: the bits wiped out.
+    """
     keys = []
     for wild, (lo, hi, a, b) in enumerate(quarters(ranges)):
-        part = F.shiftrightunsigned(halves[lo // 64], lo % 64).bitwiseAND(F.lit((1 << (hi - lo)) - 1 & ~(((1 << (b - a)) - 1) << (a - lo))))
-        keys.append(F.struct(F.lit(wild).cast("byte").alias("wild"), part.alias("rest")))
-    return members.select(*members.columns, F.explode(F.array(*keys)).alias("key")).select("key.wild", "key.rest", *members.columns)
+        part = F.shiftrightunsigned(halves[lo // 64], lo % 64).bitwiseAND(F.lit((1 << (hi - lo)) - 1))
+        rest = part.bitwiseAND(F.lit((1 << (hi - lo)) - 1 & ~(((1 << (b - a)) - 1) << (a - lo))))
+        own = F.shiftrightunsigned(part, a - lo).bitwiseAND(F.lit((1 << (b - a)) - 1))
+        keys.append(F.struct(F.lit(wild).cast("byte").alias("wild"), rest.cast("int").alias("rest"), own.cast("byte").alias("quarter")))
+    return members.select(*carried, F.explode(F.array(*keys)).alias("key")).select("key.wild", "key.rest", "key.quarter", *carried)
 
 
 def spanning(members: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,10 +218,10 @@ def _linked_in_buckets(key: np.ndarray, members: np.ndarray, max_bits: int) -> t
 _WIDE_RUN = 1_024
 
 
-def _bucket_edges(rows: DataFrame, ranges: list[tuple[int, int]], halves: int, max_bits: int, max_bucket: int) -> DataFrame:
-    """From rows (wild, rest, members' columns): edges (bit -1), or the buckets (bit, rest, u) of groups of over max_bucket."""
+def _bucket_edges(rows: DataFrame, ranges: list[tuple[int, int]], max_bits: int, max_bucket: int) -> DataFrame:
+    """From rows (wild, rest, quarter, members' columns): edges (bit -1), or the buckets (bit, rest, u) of groups of over max_bucket."""
     names = ("bit", "rest", "u", "v")
-    columns = rows.columns[2:]
+    columns = rows.columns[2:]  # the quarter, then the member
     lo, _, first, last = (np.array(x, dtype=np.int64) for x in zip(*quarters(ranges)))
     width = int((last - first).max())
 
@@ -221,9 +230,7 @@ def _bucket_edges(rows: DataFrame, ranges: list[tuple[int, int]], halves: int, m
 
     def fine(key: np.ndarray, members: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """For each bit of the quarters: it, and of the rows that have it their place, bit and segment without it."""
-        wild = key >> 56
-        half = members[:, members.shape[1] - halves :][np.arange(len(key)), lo[wild] // 64].view(np.uint64)
-        value = ((half >> (first[wild] % 64).astype(np.uint64)) & np.uint64((1 << width) - 1)).astype(np.int64) & ((1 << (last - first)) - 1)[wild]
+        wild, value = key >> 56, members[:, 0]
         for j in range(width):
             has = np.flatnonzero(first[wild] + j < last[wild])
             rest = (key[has] & ((1 << 56) - 1)) | ((value[has] & ~(1 << j)) << (first - lo)[wild[has]])
@@ -235,13 +242,13 @@ def _bucket_edges(rows: DataFrame, ranges: list[tuple[int, int]], halves: int, m
         group, bit, rest, has = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((rest, group))
         group, rest, has = group[order], rest[order], has[order]
-        u, v = _linked_in_buckets(np.cumsum(np.r_[0, (group[1:] != group[:-1]) | (rest[1:] != rest[:-1])]), members[has], max_bits)
+        u, v = _linked_in_buckets(np.cumsum(np.r_[0, (group[1:] != group[:-1]) | (rest[1:] != rest[:-1])]), members[has, 1:], max_bits)
         none = np.full(len(u), -1)
         return out(none, none, u, v)
 
     def large(key: int, members: np.ndarray) -> Iterator[pa.RecordBatch]:
         for _, has, bit, rest in fine(np.full(len(members), key), members):
-            yield out(bit, rest, members[has, 0], members[has, 0])
+            yield out(bit, rest, members[has, 1], members[has, 1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held, over = np.empty(0, np.int64), np.empty((0, len(columns)), np.int64), None
@@ -288,19 +295,22 @@ def _large_bucket_edges(rows: DataFrame, max_bits: int, max_bucket: int) -> Data
     return paired.groupBy("bit", "rest", "i", "j").applyInPandas(linked, "u long, v long")
 
 
-def _links(members: DataFrame, ranges: list[tuple[int, int]], halves: tuple[str, ...], max_bits: int, max_bucket: int) -> DataFrame:
-    """(u, v): edges among members (node, then the halves of its fingerprint; or one column that is both) that span those who meet in a bucket."""
-    found = staged(_bucket_edges(variants(members, ranges, halves), ranges, len(halves), max_bits, max_bucket), "buckets")
-    node = members.columns[0]
-    over = found.where(F.col("rest") >= 0).select("bit", "rest", F.col("u").alias(node))
-    if len(members.columns) > 1:
-        over = over.join(members, node).select("bit", "rest", *members.columns)
+def _links(members: DataFrame, ranges: list[tuple[int, int]], halves: tuple[str, ...], carried: tuple[str, ...], max_bits: int, max_bucket: int) -> DataFrame:
+    """(u, v): edges that span the members who meet in a bucket and differ by max_bits at most.
+
+    halves: the columns of a member's fingerprint; carried: its node, then those of the
+    halves that are compared; a single column is both.
+    """
+    found = staged(_bucket_edges(variants(members, ranges, halves, carried), ranges, max_bits, max_bucket), "buckets")
+    over = found.where(F.col("rest") >= 0).select("bit", "rest", F.col("u").alias(carried[0]))
+    if len(carried) > 1:
+        over = over.join(members.select(*carried), carried[0]).select("bit", "rest", *carried)
     return found.where(F.col("rest") < 0).select("u", "v").unionByName(_large_bucket_edges(over, max_bits, max_bucket))
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """(u, v): edges among the distinct fingerprints `fps` whose components are those of all links."""
-    return _links(fps, segments(max_bits), ("fp",), max_bits, max_bucket)
+    return _links(fps, segments(max_bits), ("fp",), ("fp",), max_bits, max_bucket)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET, hot_keys: int = HOT_KEYS) -> DataFrame:
@@ -418,17 +428,18 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     names = docs.columns
     # rows are written once with their number; afterwards only numbers, keys and fingerprints move, and the shingles of candidates
     rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{n}`") for n in names]).alias("own")), "rows")
-    id_type = docs.schema[id_col].dataType.simpleString()
+    id_type, halves = docs.schema[id_col].dataType.simpleString(), ("h0", "h1", "h2", "h3")
 
     def measured(batch: pa.RecordBatch) -> dict:
         found = [wide_fingerprint(t, shingle) for t in texts_of(batch)]
-        return {"row": batch.column("row"), "id": batch.column("id")} | {k: [f[i] for f in found] for i, k in enumerate(("words", "low", "high", "n"))}
+        parts = {h: [f[1][i] for f in found] for i, h in enumerate(halves)}
+        return {"row": batch.column("row"), "id": batch.column("id"), "words": [f[0] for f in found], **parts, "n": [f[2] for f in found]}
 
     texts = rows.select("row", F.col("own")[id_col].alias("id"), F.col("own")[text_col].alias("text"))
-    prints = map_batches(texts, measured, f"row long, id {id_type}, words binary, low long, high long, n long")
+    prints = map_batches(texts, measured, f"row long, id {id_type}, words binary, {', '.join(f'{h} long' for h in halves)}, n long")
     best = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"))
-    nodes = staged(prints.groupBy("words").agg(F.min(best).alias("best"), F.first("low").alias("low"), F.first("high").alias("high"), F.first("n").alias("n")).select(F.col("best.row").alias("node"), "best", "low", "high", "n"), "nodes")
-    gathered = components(_links(nodes.where("n > 0").select("node", "low", "high"), cut(128, WIDE_SEGMENTS), ("low", "high"), max_bits, max_bucket))
+    nodes = staged(prints.groupBy("words").agg(F.min(best).alias("best"), *[F.first(h).alias(h) for h in (*halves, "n")]).select(F.col("best.row").alias("node"), "best", *halves, "n"), "nodes")
+    gathered = components(_links(nodes.where("n > 0").select("node", *halves), cut(256, WIDE_SEGMENTS), halves, ("node", *halves[:2]), max_bits, max_bucket))
     grouped = staged(gathered.join(nodes, "node").select("root", "node", "n"), "candidates")
     parts = staged(grouped.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.ceil(2 * F.sum("n") / max_shingles).cast("int").alias("parts")), "parts")
     dealt = join_hot(grouped, parts, "root", "size", hot_keys).withColumn("own", F.when(F.col("parts") > 2, F.pmod(F.xxhash64("node"), F.col("parts"))).otherwise(0).cast("int"))
