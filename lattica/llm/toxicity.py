@@ -156,7 +156,8 @@ def train(docs: DataFrame, labels: DataFrame, is_train: Column, is_held_back: Co
     contexts = {v: n for v, *n in fetched(counted.groupBy("v").agg(F.count_if(F.col("ordinary") > 0), F.count_if(F.col("toxic") > 0), F.count(F.lit(1))))}
     kept = counted.where(F.col("ordinary") + F.col("toxic") >= min_pair)
     pairs = {(w, v): (a, b) for w, v, a, b in fetched(kept)}
-    heads = {w: (a, b) for w, a, b in fetched(counted.join(kept.select("w").distinct(), "w", "left_semi").groupBy("w").agg(F.sum("ordinary"), F.sum("toxic")))}
+    largest = F.max(F.col("ordinary") + F.col("toxic"))
+    heads = {w: (a, b) for w, a, b, _ in fetched(counted.groupBy("w").agg(F.sum("ordinary"), F.sum("toxic"), largest.alias("largest")).where(F.col("largest") >= min_pair))}
     once = fetched(counted.agg(*[F.count_if(F.col(c) == n) for c in ("ordinary", "toxic") for n in (1, 2)]))[0]
     y = [0, 0]
     for r in rows.where(~is_held_back).groupBy((F.col("_label") > 0).cast("int").alias("y")).count().collect():
