@@ -3,6 +3,10 @@
 These follow the contracts of the segmentation steps, not their algorithms: no
 image or probabilistic segmentation is done here. Tables: transcripts
 (transcript_id, gene, x, y), cells (cell_id, x, y), polygons (cell_id, z, ring).
+
+Joins by position are equality joins on grid squares. Both sides come straight from
+a shuffle and nothing is kept together after, so the adaptive planner splits crowded
+squares (spark.sql.adaptive.skewJoin) and broadcasts a small side.
 """
 
 from __future__ import annotations
