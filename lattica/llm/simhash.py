@@ -218,6 +218,33 @@ def _linked_in_buckets(key: np.ndarray, members: np.ndarray, max_bits: int) -> t
 _WIDE_RUN = 1_024
 
 
+class Forest:
+    """Tells which edges join what earlier ones didn't. Beyond `limit` nodes it starts anew, and some are told again."""
+
+    def __init__(self, limit: int = 200_000) -> None:
+        self.root: dict[int, int] = {}
+        self.limit = limit
+
+    def joining(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """For each edge, in order, whether it joins two trees."""
+        root = self.root
+        if len(root) > self.limit:
+            root.clear()
+
+        def find(x: int) -> int:
+            while (p := root.get(x, x)) != x:
+                root[x] = x = root.get(p, p)
+            return x
+
+        out = np.zeros(len(u), dtype=bool)
+        for i, (a, b) in enumerate(zip(u.tolist(), v.tolist())):
+            a, b = find(a), find(b)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                out[i] = True
+        return out
+
+
 def _bucket_edges(rows: DataFrame, ranges: list[tuple[int, int]], max_bits: int, max_bucket: int) -> DataFrame:
     """From rows (wild, rest, quarter, members' columns): edges (bit -1), or the buckets (bit, rest, u) of groups of over max_bucket."""
     names = ("bit", "rest", "u", "v")
@@ -236,13 +263,16 @@ def _bucket_edges(rows: DataFrame, ranges: list[tuple[int, int]], max_bits: int,
             rest = (key[has] & ((1 << 56) - 1)) | ((value[has] & ~(1 << j)) << (first - lo)[wild[has]])
             yield j, has, (first[wild] + j)[has], rest
 
-    def edges(key: np.ndarray, members: np.ndarray) -> pa.RecordBatch:
+    def edges(key: np.ndarray, members: np.ndarray, forest: Forest) -> pa.RecordBatch:
         at = np.cumsum(np.r_[0, key[1:] != key[:-1]])
         parts = [(at[has] * width + j, bit, rest, has) for j, has, bit, rest in fine(key, members)]
         group, bit, rest, has = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((rest, group))
         group, rest, has = group[order], rest[order], has[order]
         u, v = _linked_in_buckets(np.cumsum(np.r_[0, (group[1:] != group[:-1]) | (rest[1:] != rest[:-1])]), members[has, 1:], max_bits)
+        # near copies meet in very many buckets of a task: each is joined once
+        new = forest.joining(u, v)
+        u, v = u[new], v[new]
         none = np.full(len(u), -1)
         return out(none, none, u, v)
 
@@ -251,7 +281,7 @@ def _bucket_edges(rows: DataFrame, ranges: list[tuple[int, int]], max_bits: int,
             yield out(bit, rest, members[has, 1], members[has, 1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held, over = np.empty(0, np.int64), np.empty((0, len(columns)), np.int64), None
+        held_key, held, over, forest = np.empty(0, np.int64), np.empty((0, len(columns)), np.int64), None, Forest()
         for b in _gathered(batches):
             key = np.r_[held_key, (b.column("wild").to_numpy().astype(np.int64) << 56) | b.column("rest").to_numpy()]
             members = np.concatenate([held, np.stack([b.column(c).to_numpy() for c in columns], axis=1)])
@@ -264,7 +294,7 @@ def _bucket_edges(rows: DataFrame, ranges: list[tuple[int, int]], max_bits: int,
                     yield from large(over, members[:done])
                 key, members, end, over = key[done:], members[done:], end - done, None
             if end > 0:
-                yield edges(key[:end], members[:end])
+                yield edges(key[:end], members[:end], forest)
             held_key, held = key[max(end, 0) :], members[max(end, 0) :]
             if len(held_key) and (over is not None or len(held_key) > max_bucket):
                 over = int(held_key[0])
@@ -274,7 +304,7 @@ def _bucket_edges(rows: DataFrame, ranges: list[tuple[int, int]], max_bits: int,
             if over is not None and int(held_key[0]) == over:
                 yield from large(over, held)
             else:
-                yield edges(held_key, held)
+                yield edges(held_key, held, forest)
 
     return rows.repartition("wild", "rest").sortWithinPartitions("wild", "rest").mapInArrow(run, "bit short, rest long, u long, v long")
 

@@ -88,6 +88,19 @@ def test_links_find_every_distance_up_to_four(spark):
         assert {x: got.get(x, x) for x in fps} == want
 
 
+def test_a_forest_joins_each_tree_once():
+    rng = np.random.default_rng(3)
+    u, v = rng.integers(0, 60, 400), rng.integers(0, 60, 400)
+    for limit in (10**6, 5):
+        forest, kept = simhash.Forest(limit), []
+        for i in range(0, 400, 20):
+            new = forest.joining(u[i : i + 20], v[i : i + 20])
+            kept += list(zip(u[i : i + 20][new].tolist(), v[i : i + 20][new].tolist()))
+        pairs = lambda es: slow_components(list(range(60)), lambda a, b, es=set(es): (a, b) in es or (b, a) in es)
+        assert pairs(kept) == pairs(zip(u.tolist(), v.tolist()))
+        assert limit == 5 or len(kept) < 60
+
+
 def test_components_of_a_path_a_star_and_a_ring(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 150)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)] + [(7, 7), (None, 3)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "u long, v long").repartition(5)).collect()}
