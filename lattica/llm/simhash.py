@@ -200,12 +200,15 @@ def _linked_in_buckets(key: np.ndarray, members: np.ndarray, max_bits: int) -> t
     bucket, size = np.repeat(np.arange(len(starts)), sizes), np.repeat(sizes, sizes)
     place = np.arange(len(key)) - np.repeat(starts, sizes)
     found, i = [], np.flatnonzero((size > 1) & (size <= _WIDE_RUN))
+    links = np.zeros(len(starts), dtype=np.int64)
     for d in range(1, int(sizes[sizes <= _WIDE_RUN].max(initial=1))):
-        i = i[place[i] + d < size[i]]
+        i = i[(place[i] + d < size[i]) & (links[bucket[i]] < 2)]  # else the pairs of a group of near copies are all held
+        if not len(i):
+            break
         near = i[_distance(members[i], members[i + d]) <= max_bits]
+        np.add.at(links, bucket[near], 1)
         found.append(np.stack([near, near + d]))
     pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-    links = np.bincount(bucket[pairs[0]], minlength=len(starts))
     single = pairs[:, links[bucket[pairs[0]]] == 1]
     u, v = [members[single[0], 0]], [members[single[1], 0]]
     for at in np.flatnonzero((links > 1) | (sizes > _WIDE_RUN)).tolist():
@@ -481,7 +484,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sets = map_batches(chosen.select("root", "node", "parts", "own", "text"), shingled, "root long, node long, parts int, own int, shingles binary")
     other = F.explode(F.when(F.col("parts") > 2, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.lit(0))))
     pairs = sets.withColumn("other", other).select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "shingles")
-    roots = staged(components(verified(pairs, similarity)).join(nodes, "node").select("root", "node", "best"), "groups")
+    # written before the contraction: else each task holds a second Python worker beside the sets
+    similar_pairs = staged(verified(pairs, similarity), "similar")
+    roots = staged(components(similar_pairs).join(nodes, "node").select("root", "node", "best"), "groups")
     winners = staged(roots.groupBy("root").agg(F.min("best").alias("first"), F.count(F.lit(1)).alias("size")), "winners")
     losers = join_hot(roots, winners, "root", "size", hot_keys).where("best.row <> first.row").select("node")
     kept = nodes.select(F.col("node").alias("row")).join(losers, F.col("row") == F.col("node"), "left_anti")

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -88,6 +89,30 @@ def test_links_find_every_distance_up_to_four(spark):
         assert {x: got.get(x, x) for x in fps} == want
 
 
+def test_buckets_of_near_copies_hold_no_pairs():
+    """Sixteen buckets of 1,000 members that all link: 8 million pairs, of which only spanning edges are held."""
+    rng = np.random.default_rng(6)
+    fps = rng.integers(-(2**62), 2**62, 16).repeat(1000) ^ (1 << rng.integers(0, 60, 16_000))
+    members = np.stack([np.arange(16_000), fps], axis=1)
+    tracemalloc.start()
+    u, v = simhash._linked_in_buckets(np.arange(16).repeat(1000), members, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20
+    assert len(u) == 16 * 999 and np.array_equal(u // 1000, v // 1000)
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3, 8])
+def test_links_within_buckets_equal_all_pairs(bits):
+    rng = np.random.default_rng(bits)
+    key = np.sort(rng.integers(0, 40, 300))
+    members = np.stack([np.arange(300), rng.integers(0, 256, 300)], axis=1)
+    joined = {(min(a, b), max(a, b)) for a, b in zip(*(x.tolist() for x in simhash._linked_in_buckets(key, members, bits)))}
+    linked = lambda a, b: key[a] == key[b] and int(members[a, 1] ^ members[b, 1]).bit_count() <= bits
+    assert all(linked(a, b) for a, b in joined)
+    assert slow_components(list(range(300)), lambda a, b: (a, b) in joined) == slow_components(list(range(300)), linked)
+
+
 def test_a_forest_joins_each_tree_once():
     rng = np.random.default_rng(3)
     u, v = rng.integers(0, 60, 400), rng.integers(0, 60, 400)
